@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference reads every table in batch and has no stream, watermark or
+state. Each metric is a pure function of its inputs and an as-of date, so a
+daily rerun is a batch job that overwrites that date's partition
+(``holdcast.sources.tables.write_report`` with ``partition_by``).
+"""

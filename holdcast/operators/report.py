@@ -43,8 +43,9 @@ def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28) ->
     """Daily rows with their ISO week's sums, week and day shares, hierarchy and
     the 28-day bias of that day.
 
-    Shuffles: batch rows -> (material, location, day) sums; the bias join on the
-    same keys reuses that partitioning; one window shuffle by
+    Shuffles: batch rows -> (material, location, day) sums, read three times
+    through one reused exchange (detail, week totals, day totals); the bias join
+    on the same keys keeps that partitioning; one window shuffle by
     (material, location, year, week) with at most seven rows per window; the two
     calendar-total tables are broadcast.
     """
@@ -61,11 +62,15 @@ def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28) ->
     weekly_names = totals.s_measure_names("_weekly")
     daily_names = totals.s_measure_names("_daily")
     dy = dy.withColumns({wn: F.sum(dn).over(win) for wn, dn in zip(weekly_names, daily_names)})
-    dy = dy.withColumn("_first_day", F.col("day") == F.min("day").over(win))
 
-    # One row per weekly group feeds the week totals, as SUM over weekly rows.
-    wk_tot = totals._totals(dy.filter("_first_day"), ["year", "week"], "_weekly")
-    day_tot = totals._totals(totals.daily_inventory(tables), ["day"], "_daily")
+    # Totals from the daily aggregate alone (no bias join in these branches),
+    # so both reuse the daily shuffle. Week totals sum weekly rows, as SQL does.
+    daily = totals.daily_inventory(tables)
+    weekly_rows = daily.withColumns({"year": y, "week": w}).groupBy(
+        "material_id", "location_id", "year", "week").agg(
+        *[F.sum(dn).alias(wn) for wn, dn in zip(weekly_names, daily_names)])
+    wk_tot = totals._totals(weekly_rows, ["year", "week"], "_weekly")
+    day_tot = totals._totals(daily, ["day"], "_daily")
     j = with_calendar_totals(with_calendar_totals(dy, wk_tot, ["year", "week"]), day_tot, ["day"])
     j = with_hierarchy(j, tables, on="material_id")
     wsh = totals._shares(j, "_weekly")

@@ -17,8 +17,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdcast.schemas import Tables
 
@@ -35,9 +36,32 @@ def with_hierarchy(df: DataFrame, tables: Tables, on: str = "MaterialID") -> Dat
     return df.join(mh, on, "left")
 
 
+# Sentinel for the NULL-period group of a totals table: period keys are joined
+# as BIGINT (dates as day numbers), and no INT or day number equals it.
+NULL_PERIOD = -(2 ** 63)
+
+
+def _period_as_long(df: DataFrame, c: str) -> Column:
+    e = F.unix_date(F.col(c)) if isinstance(df.schema[c].dataType, T.DateType) else F.col(c)
+    return e.cast("long")
+
+
 def with_calendar_totals(df: DataFrame, totals: DataFrame, on: list[str]) -> DataFrame:
-    """Left join per-period totals, broadcast (size bounded by the calendar)."""
-    return df.join(F.broadcast(totals), on, "left")
+    """Left join per-period totals, broadcast (size bounded by the calendar).
+
+    ``totals`` is usually an aggregate of ``df`` itself. The totals side gets
+    non-nullable keys (``coalesce(key, NULL_PERIOD)``), so the optimizer infers
+    no ``IS NOT NULL`` filter for it; both branches then keep the same plan
+    below their shuffle and Spark reuses that exchange instead of scanning and
+    aggregating the input twice. SQL semantics are unchanged: a NULL key in
+    ``df`` matches nothing, and the NULL-period totals row matches nothing.
+    """
+    keys = [f"_period_{i}" for i in range(len(on))]
+    t = totals.select(
+        *[F.coalesce(_period_as_long(totals, k), F.lit(NULL_PERIOD)).alias(n) for k, n in zip(on, keys)],
+        *[c for c in totals.columns if c not in on])
+    cond = [_period_as_long(df, k) == F.col(n) for k, n in zip(on, keys)]
+    return df.join(F.broadcast(t), cond, "left").drop(*keys)
 
 
 def left_join_keys_to_rows(keys: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from holdcast.functions import units as U
 from holdcast.functions.dates import since
 from holdcast.operators import demand, holding, onhand, report, snapshots, totals
 from holdcast.schemas import Tables
+from holdcast.session import configure
 from holdcast.sources.fixtures import AS_OF, load_tables
 
 DECIMALS = 4
@@ -108,6 +109,11 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build the registered query ``name`` over the tables of ``sf_dir``.
+
+    Pins the session settings the fixtures and week keys depend on (UTC).
+    """
+    configure(spark)
     return round_doubles(METRICS[name](load_tables(spark, sf_dir)))
 
 

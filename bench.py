@@ -6,7 +6,8 @@ warm-up, so every query runs once untimed first; the timed number is the best
 of ``BENCH_REPEAT`` runs.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2), BENCH_QUERIES (comma list, default the headline set).
+BENCH_REPEAT (default 2), BENCH_QUERIES (comma list, default the headline set),
+BENCH_SHUFFLE_PARTITIONS (default 2 x cpus).
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, shuffle_partitions=cpus * 2, app_name="holdcast-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
+    spark = local_session(cpus, shuffle_partitions=parts, app_name="holdcast-bench")
 
     def run_once(name: str) -> float:
         t = time.perf_counter()

@@ -145,6 +145,5 @@ def bias_90d_aligned(tables: Tables, as_of: DateLike, days: int = 90) -> DataFra
     a = lines.groupBy("MaterialID").agg(F.sum("ConfirmedQuantity").alias("ActualDemand"))
     j = f.join(a, "MaterialID", "left")
     fc = F.coalesce(F.col("DemandForecast"), F.lit(0.0))
-    ac = F.coalesce(F.col("ActualDemand"), F.lit(0.0))
     return j.select("MaterialID", "DemandForecast", "ActualDemand",
                     F.round(bias(fc, F.col("ActualDemand")), 3).alias("Bias"))

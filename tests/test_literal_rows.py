@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from holdcast.operators import demand, holding, onhand, totals
-from literal import AS_OF, by_key, day, stock_row, tables, ts
+from literal import AS_OF, by_key, day, stock_row, tables
 
 MASTER = [
     {"MaterialID": "M1", "ProductPlanningUnitsPerPallet": 10, "ProductPlanningUnitsPerCase": 2,

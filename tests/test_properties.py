@@ -3,7 +3,6 @@
 import math
 from collections import defaultdict
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

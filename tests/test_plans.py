@@ -101,3 +101,11 @@ def test_write_report_replaces_only_its_dates(spark, tables_small, tmp_path):
     assert back.count() == day0.count() + day1.count()
     assert sorted(d for d in os.listdir(out) if d.startswith("date=")) == [
         "date=2025-01-11", "date=2025-01-12"]
+
+
+def test_views_serve_spark_sql(spark, tables_small):
+    src.register_views(tables_small, suffix="_v")
+    got = spark.sql("""
+        SELECT b.MaterialID, COUNT(*) AS n FROM batch_inventory_actual_v b
+        LEFT JOIN material_master_v m ON m.MaterialID = b.MaterialID GROUP BY b.MaterialID""")
+    assert got.count() == tables_small.batch_inventory.select("MaterialID").distinct().count()

@@ -39,7 +39,8 @@ def filter_holdings(df: DataFrame, material: str | None = None, location: int |
     return df
 
 
-def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28) -> DataFrame:
+def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28,
+                        day_sums: DataFrame | None = None) -> DataFrame:
     """Daily rows with their ISO week's sums, week and day shares, hierarchy and
     the 28-day bias of that day.
 
@@ -49,7 +50,7 @@ def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28) ->
     (material, location, year, week) with at most seven rows per window; the two
     calendar-total tables are broadcast.
     """
-    dy = totals.daily_inventory(tables)
+    dy = totals.daily_inventory(tables, day_sums)
     b = demand.bias_28d(tables, as_of, bias_days).select(
         F.col("DATE").alias("day"), F.col("LocationID").alias("location_id"),
         F.col("MaterialID").alias("material_id"), "Total_Actual_Quantity_Cases",
@@ -65,7 +66,7 @@ def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28) ->
 
     # Totals from the daily aggregate alone (no bias join in these branches),
     # so both reuse the daily shuffle. Week totals sum weekly rows, as SQL does.
-    daily = totals.daily_inventory(tables)
+    daily = totals.daily_inventory(tables, day_sums)
     weekly_rows = daily.withColumns({"year": y, "week": w}).groupBy(
         "material_id", "location_id", "year", "week").agg(
         *[F.sum(dn).alias(wn) for wn, dn in zip(weekly_names, daily_names)])

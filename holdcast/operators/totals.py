@@ -60,33 +60,59 @@ def stock_units_sql(tables: Tables) -> DataFrame:
     )
 
 
-def _summed(tables: Tables, group: list[Column], suffix: str) -> DataFrame:
-    """Pre-aggregate pallets to ``KEYS + group``, join master, nine measures."""
-    pallets = row_pallets()
-    g = tables.batch_inventory.groupBy(*KEYS, *group).agg(
-        *[F.sum(pallets[s]).alias(f"_p_{s}") for s in S_ORDER])
+def _pallet_sums(rows: DataFrame, group: list[Column], source: str = "rows") -> DataFrame:
+    """Sum the three pallet quantities to ``KEYS + group``.
+
+    ``source="rows"`` reads batch rows; ``source="day_sums"`` re-aggregates the
+    output of ``stock_day_sums`` (sums of sums: exact, NULL only when every
+    batch row was NULL, as ``SUM`` over the rows).
+    """
+    if source == "rows":
+        pallets = row_pallets()
+        return rows.groupBy(*KEYS, *group).agg(*[F.sum(pallets[s]).alias(f"_p_{s}") for s in S_ORDER])
+    return rows.groupBy(*KEYS, *group).agg(*[F.sum(f"_p_{s}").alias(f"_p_{s}") for s in S_ORDER])
+
+
+def stock_day_sums(tables: Tables) -> DataFrame:
+    """Batch rows summed to (MaterialID, LocationID, day of snapshot).
+
+    The smallest table every SQL-form report can be derived from exactly; a
+    job that writes several of them computes it once (``holdcast.plans.job``).
+    """
+    return _pallet_sums(tables.batch_inventory, [F.to_date("SnapshotDate").alias("day")])
+
+
+def _measures(g: DataFrame, tables: Tables, suffix: str) -> DataFrame:
+    """Join master to pallet sums ``g`` and compute the nine measures."""
     j = with_material_master(g, tables, [U.UPP, U.UPC, U.LIST_PRICE, U.STD_COST])
     m = U.propagating_measures({s: F.col(f"_p_{s}") for s in S_ORDER}, suffix=suffix)
     names = [c for c in g.columns if not c.startswith("_p_")]
-    return j.select(*names, *[m[n].alias(n) for n in s_measure_names(suffix)])
+    return j.select(*names, *[m[n].alias(n) for n in s_measure_names(suffix)]).withColumnsRenamed(
+        {"MaterialID": "material_id", "LocationID": "location_id"})
 
 
-def daily_inventory(tables: Tables) -> DataFrame:
+def daily_inventory(tables: Tables, day_sums: DataFrame | None = None) -> DataFrame:
     """Nine measures per (material, location, day of snapshot)."""
-    d = _summed(tables, [F.to_date("SnapshotDate").alias("day")], "_daily")
-    return d.withColumnsRenamed({"MaterialID": "material_id", "LocationID": "location_id"})
+    g = day_sums if day_sums is not None else stock_day_sums(tables)
+    return _measures(g, tables, "_daily")
 
 
-def weekly_inventory(tables: Tables, iso: bool = False) -> DataFrame:
+def weekly_inventory(tables: Tables, iso: bool = False, day_sums: DataFrame | None = None) -> DataFrame:
     """Nine measures per (material, location, year, week).
 
     ``iso=False`` groups by YEAR and WEEKOFYEAR as the reference does, which puts
     the last days of December into week 1 of the ending year; ``iso=True`` uses
-    the ISO year of the week.
+    the ISO year of the week. Without ``day_sums`` batch rows are grouped by
+    week directly (one shuffle); with it the day sums are re-aggregated.
     """
-    y, w = (iso_week if iso else calendar_week)(F.col("SnapshotDate"))
-    d = _summed(tables, [y.alias("year"), w.alias("week")], "_weekly")
-    return d.withColumnsRenamed({"MaterialID": "material_id", "LocationID": "location_id"})
+    week_of = iso_week if iso else calendar_week
+    if day_sums is None:
+        y, w = week_of(F.col("SnapshotDate"))
+        g = _pallet_sums(tables.batch_inventory, [y.alias("year"), w.alias("week")])
+    else:
+        y, w = week_of(F.col("day"))
+        g = _pallet_sums(day_sums, [y.alias("year"), w.alias("week")], source="day_sums")
+    return _measures(g, tables, "_weekly")
 
 
 # Period totals accumulate in DECIMAL: each row's clear + blocked + restricted
@@ -108,12 +134,12 @@ def _totals(df: DataFrame, period: list[str], suffix: str) -> DataFrame:
         F.sum(row_total(u)).alias(f"total_{u}{suffix}") for u in U.UNITS])
 
 
-def weekly_totals(tables: Tables, iso: bool = False) -> DataFrame:
-    return _totals(weekly_inventory(tables, iso), ["year", "week"], "_weekly")
+def weekly_totals(tables: Tables, iso: bool = False, day_sums: DataFrame | None = None) -> DataFrame:
+    return _totals(weekly_inventory(tables, iso, day_sums), ["year", "week"], "_weekly")
 
 
-def daily_totals(tables: Tables) -> DataFrame:
-    return _totals(daily_inventory(tables), ["day"], "_daily")
+def daily_totals(tables: Tables, day_sums: DataFrame | None = None) -> DataFrame:
+    return _totals(daily_inventory(tables, day_sums), ["day"], "_daily")
 
 
 def _shares(df: DataFrame, suffix: str) -> dict[str, Column]:
@@ -121,32 +147,32 @@ def _shares(df: DataFrame, suffix: str) -> dict[str, Column]:
             for u in U.UNITS for s in S_ORDER}
 
 
-def weekly_share(tables: Tables, iso: bool = False) -> DataFrame:
+def weekly_share(tables: Tables, iso: bool = False, day_sums: DataFrame | None = None) -> DataFrame:
     """Weekly rows with each measure as a percent of its week's total."""
-    wk = weekly_inventory(tables, iso)
+    wk = weekly_inventory(tables, iso, day_sums)
     t = _totals(wk, ["year", "week"], "_weekly")
     j = with_calendar_totals(wk, t, ["year", "week"])
     sh = _shares(j, "_weekly")
     return j.select(*wk.columns, *[sh[n].alias(n) for n in sh])
 
 
-def daily_share(tables: Tables) -> DataFrame:
+def daily_share(tables: Tables, day_sums: DataFrame | None = None) -> DataFrame:
     """Daily rows with each measure as a percent of its day's total."""
-    dy = daily_inventory(tables)
+    dy = daily_inventory(tables, day_sums)
     t = _totals(dy, ["day"], "_daily")
     j = with_calendar_totals(dy, t, ["day"])
     sh = _shares(j, "_daily")
     return j.select(*dy.columns, *[sh[n].alias(n) for n in sh])
 
 
-def weekly_daily_aligned(tables: Tables) -> DataFrame:
+def weekly_daily_aligned(tables: Tables, day_sums: DataFrame | None = None) -> DataFrame:
     """Each daily row next to the totals of its own (ISO) week.
 
     The weekly sums come from a window over (material, location, year, week)
     of the daily table: each window partition holds at most seven rows, so
     there is no hot partition and no second aggregation + join.
     """
-    dy = daily_inventory(tables)
+    dy = daily_inventory(tables, day_sums)
     y, w = iso_week(F.col("day"))
     dy = dy.withColumns({"year": y, "week": w})
     win = Window.partitionBy("material_id", "location_id", "year", "week")

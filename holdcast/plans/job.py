@@ -26,6 +26,7 @@ from holdcast.functions.dates import DateLike, as_date
 from holdcast.operators import demand, holding, report, totals
 from holdcast.schemas import (BATCH_INVENTORY, DEMAND_PLAN, MATERIAL_HIERARCHY, MATERIAL_MASTER,
                               ORDER_TRACKING, Tables)
+from holdcast.plans.stage import materialize
 from holdcast.session import configure
 from holdcast.sources.tables import (read_current_partition, read_snapshot_archive, read_table,
                                      write_report)
@@ -53,25 +54,37 @@ def load_lake(spark: SparkSession, p: LakePaths) -> Tables:
     )
 
 
-# Report name -> builder. Each output carries an ``as_of`` partition column.
-REPORTS: dict[str, Callable[[Tables, DateLike], DataFrame]] = {
-    "holding_report": holding.holding_report,
-    "daily_share": lambda t, d: totals.daily_share(t),
-    "weekly_share": lambda t, d: totals.weekly_share(t, iso=True),
-    "wide_report": report.wide_report_aligned,
-    "doh_ratio": report.doh_ratio,
-    "bias_28d": demand.bias_28d_aligned,
-    "bias_90d": demand.bias_90d_aligned,
+# Report name -> builder(tables, as_of, day_sums). Reports over all stock
+# history take the shared day sums; the as-of reports read only their dates.
+REPORTS: dict[str, Callable[[Tables, DateLike, DataFrame | None], DataFrame]] = {
+    "holding_report": lambda t, d, s: holding.holding_report(t, d),
+    "daily_share": lambda t, d, s: totals.daily_share(t, day_sums=s),
+    "weekly_share": lambda t, d, s: totals.weekly_share(t, iso=True, day_sums=s),
+    "wide_report": lambda t, d, s: report.wide_report_aligned(t, d, day_sums=s),
+    "doh_ratio": lambda t, d, s: report.doh_ratio(t, d),
+    "bias_28d": lambda t, d, s: demand.bias_28d_aligned(t, d),
+    "bias_90d": lambda t, d, s: demand.bias_90d_aligned(t, d),
 }
+NEEDS_DAY_SUMS = {"daily_share", "weekly_share", "wide_report"}
 
 
 def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root: str,
                 names: list[str] | None = None) -> list[str]:
-    """Write each report to ``out_root/<name>/as_of=<date>``; returns the names."""
+    """Write each report to ``out_root/<name>/as_of=<date>``; returns the names.
+
+    When more than one full-history report is asked for, the stock table is
+    summed to (material, location, day) once and written to the shared
+    checkpoint folder; those reports then read that table instead of
+    re-scanning every batch row.
+    """
     configure(spark)
+    names = names or list(REPORTS)
+    day_sums = None
+    if len(NEEDS_DAY_SUMS.intersection(names)) > 1:
+        day_sums = materialize(totals.stock_day_sums(tables), "stock_day_sums")
     done = []
-    for name in names or list(REPORTS):
-        df = REPORTS[name](tables, as_of).withColumn("as_of", F.lit(as_date(as_of)))
+    for name in names:
+        df = REPORTS[name](tables, as_of, day_sums).withColumn("as_of", F.lit(as_date(as_of)))
         write_report(df, f"{out_root.rstrip('/')}/{name}", partition_by=["as_of"])
         done.append(name)
     return done

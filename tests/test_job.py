@@ -37,3 +37,20 @@ def test_job_writes_each_report_once_per_date(spark, tables_small, tmp_path):
     assert hr.select("as_of").distinct().count() == 2
     for name in names:
         assert spark.read.parquet(f"{out}/{name}").count() > 0, name
+
+
+def test_reports_from_day_sums_equal_reports_from_rows(spark, tables_oracle):
+    from holdcast.operators import report, totals
+    from holdcast.plans.stage import materialize
+    t = tables_oracle
+    sums = materialize(totals.stock_day_sums(t), "test_day_sums")
+    pairs = [
+        (totals.daily_share(t), totals.daily_share(t, day_sums=sums)),
+        (totals.weekly_share(t), totals.weekly_share(t, day_sums=sums)),
+        (totals.weekly_share(t, iso=True), totals.weekly_share(t, iso=True, day_sums=sums)),
+        (report.wide_report_aligned(t, AS_OF), report.wide_report_aligned(t, AS_OF, day_sums=sums)),
+    ]
+    for a, b in pairs:
+        ra = a.select([F.round(c, 6).alias(c) if d == "double" else F.col(c) for c, d in a.dtypes])
+        rb = b.select([F.round(c, 6).alias(c) if d == "double" else F.col(c) for c, d in b.dtypes])
+        assert ra.count() == rb.count() and ra.exceptAll(rb).count() == 0

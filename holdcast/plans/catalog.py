@@ -108,6 +108,11 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def run_on(name: str, tables: Tables) -> DataFrame:
+    """The registered query ``name`` over given tables (rounded like ``run``)."""
+    return round_doubles(METRICS[name](tables))
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the registered query ``name`` over the tables of ``sf_dir``.
 

@@ -136,6 +136,11 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The five tables for one scale-factor folder of driver parquet."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     lineitem = spread_narrow_scan(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return tables_from(part, lineitem)
+
+
+def tables_from(part: DataFrame, lineitem: DataFrame) -> Tables:
+    """The five tables derived from given ``part`` and ``lineitem`` DataFrames."""
     return Tables(
         material_master=material_master(part),
         material_hierarchy=material_hierarchy(part),

@@ -119,23 +119,26 @@ def order_tracking(lineitem: DataFrame) -> DataFrame:
     return conform(df, ORDER_TRACKING)
 
 
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer input partitions than the session has cores.
+def spread_narrow_scan(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan that has fewer input partitions than the session has cores.
 
     The driver's parquet files are one row group each, so their scan is a
     single task and everything fused into that stage (derivation, the 3x
     explode, map-side aggregation) would run on one core. A lake table has
     many row groups per file and many files, so this never fires there and adds
-    no shuffle at scale.
+    no shuffle at scale. Hash partitioning on ``key`` is deterministic on
+    retry without the local sort a round-robin repartition needs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The five tables for one scale-factor folder of driver parquet."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    lineitem = spread_narrow_scan(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    lineitem = spread_narrow_scan(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
     return tables_from(part, lineitem)
 
 

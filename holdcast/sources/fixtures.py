@@ -6,8 +6,9 @@ snapshots per key, a year boundary) and grow linearly with the driver tables,
 so every query built on them scales with the scale factor. The same mapping is
 written in SQL for the DuckDB oracle (``holdcast.plans.oracle``).
 
-All are narrow projections of one scan each; the plan table is three rows per
-line item produced by ``explode`` (a generator, no join).
+All are narrow projections of one scan each, written as Spark SQL over
+DataFrame parameters; the plan table is three rows per line item produced by
+``explode`` (a generator, no join).
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from holdcast.schemas import Tables, conform, MATERIAL_MASTER, MATERIAL_HIERARCHY, \
     BATCH_INVENTORY, DEMAND_PLAN, ORDER_TRACKING
@@ -29,94 +29,90 @@ PLAN_SNAPSHOT_LAGS = (0, 1, 100)          # plan snapshots taken 0, 1 and 100 da
 AS_OF = dt.date(2025, 1, 12)              # as-of date every registered query uses
 
 
-def _material(partkey: str) -> F.Column:
-    return (F.lit(MATERIAL_BASE) + F.col(partkey)).cast("string")
-
-
-def _day(offset: F.Column) -> F.Column:
-    return F.date_add(F.lit(FIRST_STOCK_DAY), offset.cast("int"))
+D0 = f"DATE '{FIRST_STOCK_DAY.isoformat()}'"
+LAGS = ", ".join(str(d) for d in PLAN_SNAPSHOT_LAGS)
+
+# The mapping as Spark SQL over DataFrame parameters ({part}, {lineitem}): one
+# parse and analysis per table instead of one Py4J call per column expression.
+MATERIAL_MASTER_SQL = f"""
+SELECT CAST({MATERIAL_BASE} + p_partkey AS STRING) AS MaterialID,
+  CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_size * 10 END AS ProductPlanningUnitsPerPallet,
+  CASE WHEN p_partkey % 19 = 0 THEN NULL WHEN p_partkey % 23 = 0 THEN 0 ELSE 1 + p_size % 12 END
+    AS ProductPlanningUnitsPerCase,
+  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_retailprice END AS ProductListPrice,
+  CASE WHEN p_partkey % 25 = 0 THEN NULL ELSE p_retailprice * 0.5D END AS ProductStandardCost,
+  p_partkey AS ProductID, p_name AS ProductDescription
+FROM {{part}} WHERE p_partkey % 13 <> 0"""
+
+MATERIAL_HIERARCHY_SQL = f"""
+SELECT CAST({MATERIAL_BASE} + p_partkey AS STRING) AS MaterialID, p_type AS Division,
+  CASE WHEN p_partkey % 2 = 0 THEN 'AMBIENT' ELSE 'CHILLED' END AS Network,
+  p_brand AS ProductLevel3CategoryID
+FROM {{part}} WHERE p_partkey % 11 <> 0"""
+
+BATCH_INVENTORY_SQL = f"""
+SELECT CAST({MATERIAL_BASE} + l_partkey AS STRING) AS MaterialID,
+  CAST({LOCATION_BASE} + l_suppkey % 4 AS INT) AS LocationID,
+  {D0} + CAST(l_orderkey % {STOCK_DAYS} AS INT) AS AvailableDate,
+  CAST({D0} + CAST(l_orderkey % {STOCK_DAYS} AS INT) AS TIMESTAMP) + INTERVAL 6 HOURS AS SnapshotDate,
+  CAST(l_linenumber * 3 AS INT) AS Day,
+  CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0.0D END AS InventoryStockUnRestricted,
+  CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0.0D END AS InventoryStockRestricted,
+  CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0D END AS InventoryStockBlocked,
+  CASE WHEN l_linestatus = 'O' THEN CAST(l_linenumber AS DOUBLE) ELSE 0.0D END
+    AS InventoryStockInQualityInspection,
+  CASE WHEN l_returnflag = 'N' THEN l_quantity END AS PalletStockUnRestricted,
+  CASE WHEN l_returnflag = 'A' THEN l_quantity END AS PalletStockRestricted,
+  CASE WHEN l_returnflag = 'R' THEN l_quantity END AS PalletStockBlocked,
+  l_orderkey * 10 + l_linenumber AS batch_row_id
+FROM {{lineitem}}"""
+
+# Three snapshot rows per line item from a generator (no join).
+DEMAND_PLAN_SQL = f"""
+SELECT {D0} + CAST(l_orderkey % {STOCK_DAYS} AS INT) AS DATE,
+  CAST({LOCATION_BASE} + l_suppkey % 4 AS INT) AS LocationID,
+  CAST({MATERIAL_BASE} + l_partkey AS STRING) AS MaterialID, 'CS' AS UnitofMeasure,
+  {D0} + CAST(l_orderkey % {STOCK_DAYS} - lag_days AS INT) AS SnapshotDate,
+  {D0} + CAST(l_orderkey % {STOCK_DAYS} - lag_days + l_linenumber % 2 AS INT) AS Modified_date,
+  l_quantity + lag_days AS ConsensusDemandPlan,
+  CAST(l_linenumber AS DOUBLE) AS SalesActualCustomerOrders,
+  CASE WHEN l_linenumber = 7 THEN NULL ELSE 2.0D END AS DependentDemand,
+  l_orderkey * 10000 + l_linenumber * 1000 + lag_days AS plan_row_id
+FROM {{lineitem}} LATERAL VIEW explode(array({LAGS})) snapshots AS lag_days"""
+
+ORDER_TRACKING_SQL = f"""
+SELECT CONCAT('0000000000', CAST({MATERIAL_BASE} + l_partkey AS STRING)) AS MaterialNumber,
+  {D0} + CAST((l_orderkey + l_linenumber % 3) % {STOCK_DAYS}
+    - CASE WHEN l_linenumber = 5 THEN 28 ELSE 0 END AS INT) AS GoodsIssueDate,
+  CASE WHEN l_linenumber = 6 THEN 0.0D ELSE l_quantity END AS ActualQuantityDeliveredInSalesUnits,
+  CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS ConfirmedQuantity
+FROM {{lineitem}}"""
+
+
+def _derive(sql: str, schema, **frames: DataFrame) -> DataFrame:
+    df = next(iter(frames.values())).sparkSession.sql(sql, **frames)
+    same = [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
+    return df if same else conform(df, schema)
 
 
 def material_master(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    df = part.filter(k % 13 != 0).select(
-        _material("p_partkey").alias("MaterialID"),
-        F.when(k % 17 == 0, None).otherwise(F.col("p_size") * 10).alias("ProductPlanningUnitsPerPallet"),
-        F.when(k % 19 == 0, None).when(k % 23 == 0, 0)
-        .otherwise(1 + F.col("p_size") % 12).alias("ProductPlanningUnitsPerCase"),
-        F.when(k % 5 == 0, None).otherwise(F.col("p_retailprice")).alias("ProductListPrice"),
-        F.when(k % 25 == 0, None).otherwise(F.col("p_retailprice") * 0.5).alias("ProductStandardCost"),
-        k.alias("ProductID"),
-        F.col("p_name").alias("ProductDescription"),
-    )
-    return conform(df, MATERIAL_MASTER)
+    return _derive(MATERIAL_MASTER_SQL, MATERIAL_MASTER, part=part)
 
 
 def material_hierarchy(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    df = part.filter(k % 11 != 0).select(
-        _material("p_partkey").alias("MaterialID"),
-        F.col("p_type").alias("Division"),
-        F.when(k % 2 == 0, "AMBIENT").otherwise("CHILLED").alias("Network"),
-        F.col("p_brand").alias("ProductLevel3CategoryID"),
-    )
-    return conform(df, MATERIAL_HIERARCHY)
+    return _derive(MATERIAL_HIERARCHY_SQL, MATERIAL_HIERARCHY, part=part)
 
 
 def batch_inventory(lineitem: DataFrame) -> DataFrame:
-    flag, qty, line = F.col("l_returnflag"), F.col("l_quantity"), F.col("l_linenumber")
-    day = _day(F.col("l_orderkey") % STOCK_DAYS)
-    df = lineitem.select(
-        _material("l_partkey").alias("MaterialID"),
-        (LOCATION_BASE + F.col("l_suppkey") % 4).cast("int").alias("LocationID"),
-        day.alias("AvailableDate"),
-        (day.cast("timestamp") + F.expr("INTERVAL 6 HOURS")).alias("SnapshotDate"),
-        (line * 3).cast("int").alias("Day"),
-        F.when(flag == "N", qty).otherwise(0.0).alias("InventoryStockUnRestricted"),
-        F.when(flag == "A", qty).otherwise(0.0).alias("InventoryStockRestricted"),
-        F.when(flag == "R", qty).otherwise(0.0).alias("InventoryStockBlocked"),
-        F.when(F.col("l_linestatus") == "O", line.cast("double")).otherwise(0.0)
-        .alias("InventoryStockInQualityInspection"),
-        F.when(flag == "N", qty).alias("PalletStockUnRestricted"),
-        F.when(flag == "A", qty).alias("PalletStockRestricted"),
-        F.when(flag == "R", qty).alias("PalletStockBlocked"),
-        (F.col("l_orderkey") * 10 + line).alias("batch_row_id"),
-    )
-    return conform(df, BATCH_INVENTORY)
+    return _derive(BATCH_INVENTORY_SQL, BATCH_INVENTORY, lineitem=lineitem)
 
 
 def demand_plan(lineitem: DataFrame) -> DataFrame:
-    line = F.col("l_linenumber")
-    lagged = lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        F.explode(F.array(*[F.lit(d) for d in PLAN_SNAPSHOT_LAGS])).alias("lag_days"),
-    )
-    base = F.col("l_orderkey") % STOCK_DAYS
-    df = lagged.select(
-        _day(base).alias("DATE"),
-        (LOCATION_BASE + F.col("l_suppkey") % 4).cast("int").alias("LocationID"),
-        _material("l_partkey").alias("MaterialID"),
-        F.lit("CS").alias("UnitofMeasure"),
-        _day(base - F.col("lag_days")).alias("SnapshotDate"),
-        _day(base - F.col("lag_days") + line % 2).alias("Modified_date"),
-        (F.col("l_quantity") + F.col("lag_days")).alias("ConsensusDemandPlan"),
-        line.cast("double").alias("SalesActualCustomerOrders"),
-        F.when(line == 7, None).otherwise(F.lit(2.0)).alias("DependentDemand"),
-        (F.col("l_orderkey") * 10000 + line * 1000 + F.col("lag_days")).alias("plan_row_id"),
-    )
-    return conform(df, DEMAND_PLAN)
+    return _derive(DEMAND_PLAN_SQL, DEMAND_PLAN, lineitem=lineitem)
 
 
 def order_tracking(lineitem: DataFrame) -> DataFrame:
-    line = F.col("l_linenumber")
-    shift = F.when(line == 5, 28).otherwise(0)
-    df = lineitem.select(
-        F.concat(F.lit("0000000000"), _material("l_partkey")).alias("MaterialNumber"),
-        _day((F.col("l_orderkey") + line % 3) % STOCK_DAYS - shift).alias("GoodsIssueDate"),
-        F.when(line == 6, 0.0).otherwise(F.col("l_quantity")).alias("ActualQuantityDeliveredInSalesUnits"),
-        F.when(F.col("l_returnflag") == "R", None).otherwise(F.col("l_quantity")).alias("ConfirmedQuantity"),
-    )
-    return conform(df, ORDER_TRACKING)
+    return _derive(ORDER_TRACKING_SQL, ORDER_TRACKING, lineitem=lineitem)
 
 
 def spread_narrow_scan(df: DataFrame, key: str | None = None) -> DataFrame:

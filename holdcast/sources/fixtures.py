@@ -125,8 +125,12 @@ def spread_narrow_scan(df: DataFrame, key: str | None = None) -> DataFrame:
     no shuffle at scale. Hash partitioning on ``key`` is deterministic on
     retry without the local sort a round-robin repartition needs.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
+        return df
+    if not narrow:
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)
 

@@ -214,3 +214,14 @@ def test_plan_driven_daily_rows(spark):
     assert len(no_stock) == 1 and no_stock[0]["Day"] is None   # plan row without stock
     # stock without a plan row (M3, M4, M9) is not in the plan-driven table
     assert {r["MaterialID"] for r in rows} == {"M1", "M2"}
+
+
+def test_reference_column_names(t):
+    named = holding.with_reference_names(holding.holding_report(t, AS_OF))
+    cols = named.columns
+    assert cols[:6] == ["Date", "Location", "Material ID", "Inventory_Clear", "Inventory_Restricted",
+                        "Inventory_Blocked"]
+    assert "Last_Week_Inventory_Clear_%" in cols and "DOH_Yesterday" in cols
+    row = named.filter("`Material ID` = 'M1'").collect()[0]
+    assert row["Inventory_Clear"] == row["InventoryClear_pallets"] == 10.0
+    assert row["Last_Week_Inventory_Clear_%"] == 100.0

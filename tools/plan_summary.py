@@ -26,7 +26,8 @@ def summarise(plan: str) -> dict[str, object]:
     scans = re.findall(r"FileScan parquet .*?Location: InMemoryFileIndex\(1 paths\)\[file:[^\]]*/(\w+)\.parquet\]", final)
     return {
         "scans": ", ".join(f"{t}×{scans.count(t)}" for t in sorted(set(scans))),
-        "shuffles": len(re.findall(r"\+- Exchange hashpartitioning", final)),
+        "shuffles": len([line for line in final.splitlines()
+                         if "+- Exchange hashpartitioning" in line and "REPARTITION_BY_NUM" not in line]),
         "reused": final.count("ReusedExchange"),
         "bhj": final.count("BroadcastHashJoin"),
         "smj": final.count("SortMergeJoin"),

@@ -109,9 +109,21 @@ def stock_by_key(tables: Tables, as_of: DateLike, days: dict[str, int]) -> DataF
     return s.groupBy(*KEYS).agg(*aggs)
 
 
+def _report_keys(g: DataFrame, tables: Tables, as_of: DateLike, driver: str) -> DataFrame:
+    """Rows of the report: keys stocked on the as-of day (``driver="stock"``), or
+    the keys planned for that day (``driver="plan"``, the notebook's choice),
+    with zeros where a planned key has no stock. Both sides are one row per key,
+    so the plan-driven left join has no fan-out."""
+    if driver == "stock":
+        return g.filter(F.col("today_rows") > 0)
+    if driver == "plan":
+        keys = plan_on(tables, as_of).select(*KEYS).distinct()
+        return keys.join(g, KEYS, "left")
+    raise ValueError(f"driver must be 'stock' or 'plan', not {driver!r}")
+
+
 def _today_measures(g: DataFrame, tables: Tables) -> DataFrame:
-    j = with_material_master(g.filter(F.col("today_rows") > 0), tables,
-                             [U.UPP, U.UPC, U.LIST_PRICE, U.STD_COST])
+    j = with_material_master(g, tables, [U.UPP, U.UPC, U.LIST_PRICE, U.STD_COST])
     m = U.defaulted_measures({s: F.col(f"today_{s}") for s in U.STATUSES})
     return j.withColumns(m)
 
@@ -119,7 +131,7 @@ def _today_measures(g: DataFrame, tables: Tables) -> DataFrame:
 def daily_holding(tables: Tables, as_of: DateLike) -> DataFrame:
     """Stock on the as-of day at (material, location) grain, nine measures."""
     g = stock_by_key(tables, as_of, {"today": 0})
-    j = _today_measures(g, tables)
+    j = _today_measures(_report_keys(g, tables, as_of, "stock"), tables)
     return j.select(
         lit_date(as_of).alias("date"),
         F.col("LocationID").alias("location_id"),
@@ -130,9 +142,9 @@ def daily_holding(tables: Tables, as_of: DateLike) -> DataFrame:
     )
 
 
-def _report_frame(tables: Tables, as_of: DateLike) -> DataFrame:
+def _report_frame(tables: Tables, as_of: DateLike, driver: str = "stock") -> DataFrame:
     g = stock_by_key(tables, as_of, {"today": 0, "yesterday": 1, "last_week": 7})
-    j = _today_measures(g, tables)
+    j = _today_measures(_report_keys(g, tables, as_of, driver), tables)
     cols = {}
     for s in U.STATUSES:
         lw = F.coalesce(F.col(f"last_week_{s}"), F.lit(0.0))
@@ -170,9 +182,13 @@ def doh_day_columns(tables: Tables, as_of: DateLike) -> DataFrame:
     return r.select("date", "location_id", "material_id", "doh_today", "doh_yesterday")
 
 
-def holding_report(tables: Tables, as_of: DateLike) -> DataFrame:
-    """The holding report: nine measures today, last-week level and change, DOH columns."""
-    r = _report_frame(tables, as_of)
+def holding_report(tables: Tables, as_of: DateLike, driver: str = "stock") -> DataFrame:
+    """The holding report: nine measures today, last-week level and change, DOH columns.
+
+    ``driver`` picks the rows: keys with stock on the as-of day (default) or the
+    keys planned for that day.
+    """
+    r = _report_frame(tables, as_of, driver)
     return r.select(
         "date", "location_id", "material_id", *U.measure_names(),
         *[f"last_week_{s}_pallets" for s in U.STATUSES],

@@ -91,6 +91,7 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "on_hand_date_columns": lambda t: onhand.with_as_of_columns(onhand.on_hand_join(t), AS_OF),
     "doh_ratio": lambda t: report.doh_ratio(t, AS_OF),
     "holding_report": lambda t: holding.holding_report(t, AS_OF),
+    "holding_report_plan_driven": lambda t: holding.holding_report(t, AS_OF, driver="plan"),
     # shares
     "weekly_share": totals.weekly_share,
     "daily_share": totals.daily_share,

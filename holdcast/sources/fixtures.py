@@ -6,6 +6,11 @@ snapshots per key, a year boundary) and grow linearly with the driver tables,
 so every query built on them scales with the scale factor. The same mapping is
 written in SQL for the DuckDB oracle (``holdcast.plans.oracle``).
 
+The modulo conditions only shape values: NULL or zero divisors, missing
+prices, parts without a master or hierarchy row (1 in 13 and 1 in 11 parts).
+No fact row is dropped: stock, plan and order tables keep every line item, so
+every query's work grows with the whole input.
+
 All are narrow projections of one scan each, written as Spark SQL over
 DataFrame parameters; the plan table is three rows per line item produced by
 ``explode`` (a generator, no join).

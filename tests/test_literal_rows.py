@@ -225,3 +225,18 @@ def test_reference_column_names(t):
     row = named.filter("`Material ID` = 'M1'").collect()[0]
     assert row["Inventory_Clear"] == row["InventoryClear_pallets"] == 10.0
     assert row["Last_Week_Inventory_Clear_%"] == 100.0
+
+
+def test_plan_driven_report(spark):
+    t = tables(spark, master=MASTER, stock=STOCK,
+               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": 1},
+                     {"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": 2},
+                     {"DATE": day(0), "LocationID": 2, "MaterialID": "M1", "plan_row_id": 3}])
+    got = by_key(holding.holding_report(t, AS_OF, driver="plan"), "material_id", "location_id")
+    assert set(got) == {("M1", 1), ("M1", 2)}       # planned keys only, once each
+    assert got[("M1", 1)]["clear_dollars"] == 250.0
+    m12 = got[("M1", 2)]                             # planned, no stock today: zeros
+    assert (m12["clear_pallets"], m12["clear_cases"], m12["doh_today"]) == (0.0, 0.0, 0)
+    assert m12["last_week_clear_pallets"] == 8.0 and m12["wow_clear_pct"] == -100.0
+    with pytest.raises(ValueError):
+        holding.holding_report(t, AS_OF, driver="other")

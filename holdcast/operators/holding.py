@@ -87,7 +87,39 @@ def daily_measures(tables: Tables, as_of: DateLike) -> DataFrame:
 
 # ---------------------------------------------------------------- key grain
 
-def stock_by_key(tables: Tables, as_of: DateLike, days: dict[str, int]) -> DataFrame:
+# What a pallet is (the reference has three): the PalletStock* columns; the
+# InventoryStock* columns read as pallets; base units / units per pallet.
+PALLET_SOURCES = ("pallet_stock", "inventory_stock", "units_per_pallet")
+# What "restricted" is (also three): the restricted column; quality inspection
+# + restricted (units only); blocked + restricted (blocked then counts twice).
+RESTRICTED_RULES = ("restricted", "quality_plus_restricted", "blocked_plus_restricted")
+
+
+def status_quantities(pallet_source: str = "pallet_stock",
+                      restricted_rule: str = "restricted") -> dict[str, F.Column]:
+    """Per-batch-row quantity per status for a pallet source and restricted rule."""
+    if pallet_source not in PALLET_SOURCES:
+        raise ValueError(f"pallet_source must be one of {PALLET_SOURCES}")
+    cols = U.PALLET_STOCK if pallet_source == "pallet_stock" else U.UNIT_STOCK
+    q = {s: F.col(cols[s]) for s in U.STATUSES}
+    if restricted_rule == "quality_plus_restricted":
+        if pallet_source == "pallet_stock":
+            raise ValueError("quality inspection stock exists in units only")
+        q["restricted"] = F.col(U.QUALITY_STOCK) + q["restricted"]
+    elif restricted_rule == "blocked_plus_restricted":
+        q["restricted"] = q["blocked"] + q["restricted"]
+    elif restricted_rule != "restricted":
+        raise ValueError(f"restricted_rule must be one of {RESTRICTED_RULES}")
+    return q
+
+
+def _as_pallets(qty: F.Column, pallet_source: str) -> F.Column:
+    """Summed quantity -> pallets (after the master join)."""
+    return U.pallets_from_units(qty) if pallet_source == "units_per_pallet" else qty
+
+
+def stock_by_key(tables: Tables, as_of: DateLike, days: dict[str, int],
+                 pallet_source: str = "pallet_stock", restricted_rule: str = "restricted") -> DataFrame:
     """Batch rows of several days summed to (material, location) in one pass.
 
     ``days`` maps a label to a day offset from ``as_of``. For each label the
@@ -97,12 +129,13 @@ def stock_by_key(tables: Tables, as_of: DateLike, days: dict[str, int]) -> DataF
     hot key is pre-aggregated before it is shuffled.
     """
     dates = {label: lit_date(as_of, off) for label, off in days.items()}
+    qty = status_quantities(pallet_source, restricted_rule)
     s = tables.batch_inventory.filter(F.col("AvailableDate").isin(*dates.values()))
     aggs = []
     for label, d in dates.items():
         hit = F.col("AvailableDate") == d
         for st in U.STATUSES:
-            aggs.append(F.sum(F.when(hit, F.col(U.PALLET_STOCK[st]))).alias(f"{label}_{st}"))
+            aggs.append(F.sum(F.when(hit, qty[st])).alias(f"{label}_{st}"))
         aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"{label}_rows"))
         aggs.append(F.max(F.when(hit, F.col("Day"))).alias(f"{label}_day"))
         aggs.append(F.max(F.when(hit, F.col("SnapshotDate"))).alias(f"{label}_snapshot"))
@@ -122,16 +155,21 @@ def _report_keys(g: DataFrame, tables: Tables, as_of: DateLike, driver: str) ->
     raise ValueError(f"driver must be 'stock' or 'plan', not {driver!r}")
 
 
-def _today_measures(g: DataFrame, tables: Tables) -> DataFrame:
+def _today_measures(g: DataFrame, tables: Tables, pallet_source: str = "pallet_stock") -> DataFrame:
     j = with_material_master(g, tables, [U.UPP, U.UPC, U.LIST_PRICE, U.STD_COST])
-    m = U.defaulted_measures({s: F.col(f"today_{s}") for s in U.STATUSES})
+    m = U.defaulted_measures({s: _as_pallets(F.col(f"today_{s}"), pallet_source) for s in U.STATUSES})
     return j.withColumns(m)
 
 
-def daily_holding(tables: Tables, as_of: DateLike) -> DataFrame:
-    """Stock on the as-of day at (material, location) grain, nine measures."""
-    g = stock_by_key(tables, as_of, {"today": 0})
-    j = _today_measures(_report_keys(g, tables, as_of, "stock"), tables)
+def daily_holding(tables: Tables, as_of: DateLike, pallet_source: str = "pallet_stock",
+                  restricted_rule: str = "restricted") -> DataFrame:
+    """Stock on the as-of day at (material, location) grain, nine measures.
+
+    ``pallet_source`` and ``restricted_rule`` pick one of the reference's
+    definitions explicitly (see ``PALLET_SOURCES``, ``RESTRICTED_RULES``).
+    """
+    g = stock_by_key(tables, as_of, {"today": 0}, pallet_source, restricted_rule)
+    j = _today_measures(_report_keys(g, tables, as_of, "stock"), tables, pallet_source)
     return j.select(
         lit_date(as_of).alias("date"),
         F.col("LocationID").alias("location_id"),
@@ -142,12 +180,14 @@ def daily_holding(tables: Tables, as_of: DateLike) -> DataFrame:
     )
 
 
-def _report_frame(tables: Tables, as_of: DateLike, driver: str = "stock") -> DataFrame:
-    g = stock_by_key(tables, as_of, {"today": 0, "yesterday": 1, "last_week": 7})
-    j = _today_measures(_report_keys(g, tables, as_of, driver), tables)
+def _report_frame(tables: Tables, as_of: DateLike, driver: str = "stock",
+                  pallet_source: str = "pallet_stock", restricted_rule: str = "restricted") -> DataFrame:
+    g = stock_by_key(tables, as_of, {"today": 0, "yesterday": 1, "last_week": 7},
+                     pallet_source, restricted_rule)
+    j = _today_measures(_report_keys(g, tables, as_of, driver), tables, pallet_source)
     cols = {}
     for s in U.STATUSES:
-        lw = F.coalesce(F.col(f"last_week_{s}"), F.lit(0.0))
+        lw = F.coalesce(_as_pallets(F.col(f"last_week_{s}"), pallet_source), F.lit(0.0))
         cols[f"last_week_{s}_pallets"] = lw
         cols[f"wow_{s}_pct"] = pct_change_or_zero(F.col(f"{s}_pallets"), lw)
     cols["doh_today"] = F.coalesce(F.col("today_day"), F.lit(0))
@@ -182,13 +222,15 @@ def doh_day_columns(tables: Tables, as_of: DateLike) -> DataFrame:
     return r.select("date", "location_id", "material_id", "doh_today", "doh_yesterday")
 
 
-def holding_report(tables: Tables, as_of: DateLike, driver: str = "stock") -> DataFrame:
+def holding_report(tables: Tables, as_of: DateLike, driver: str = "stock",
+                   pallet_source: str = "pallet_stock", restricted_rule: str = "restricted") -> DataFrame:
     """The holding report: nine measures today, last-week level and change, DOH columns.
 
     ``driver`` picks the rows: keys with stock on the as-of day (default) or the
-    keys planned for that day.
+    keys planned for that day. ``pallet_source`` / ``restricted_rule`` as in
+    ``daily_holding``.
     """
-    r = _report_frame(tables, as_of, driver)
+    r = _report_frame(tables, as_of, driver, pallet_source, restricted_rule)
     return r.select(
         "date", "location_id", "material_id", *U.measure_names(),
         *[f"last_week_{s}_pallets" for s in U.STATUSES],

@@ -81,6 +81,10 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "daily_cases": _daily_unit("cases"),
     "daily_dollars": _daily_unit("dollars"),
     "daily_holding": lambda t: holding.daily_holding(t, AS_OF),
+    "daily_holding_inventory_stock": lambda t: holding.daily_holding(
+        t, AS_OF, pallet_source="inventory_stock", restricted_rule="quality_plus_restricted"),
+    "daily_holding_units_per_pallet": lambda t: holding.daily_holding(
+        t, AS_OF, pallet_source="units_per_pallet", restricted_rule="quality_plus_restricted"),
     "stock_units_sql": totals.stock_units_sql,
     "on_hand_metrics": lambda t: onhand.on_hand_metrics(t, AS_OF),
     "pallets_from_units": holding.pallets_from_units,

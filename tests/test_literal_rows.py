@@ -240,3 +240,20 @@ def test_plan_driven_report(spark):
     assert m12["last_week_clear_pallets"] == 8.0 and m12["wow_clear_pct"] == -100.0
     with pytest.raises(ValueError):
         holding.holding_report(t, AS_OF, driver="other")
+
+
+def test_pallet_source_and_restricted_rule(t):
+    # M3 today: clear 2, restricted 1, quality 2 (units columns mirror pallets in these rows)
+    units = by_key(holding.daily_holding(t, AS_OF, pallet_source="inventory_stock",
+                                         restricted_rule="quality_plus_restricted"),
+                   "material_id", "location_id")
+    assert units[("M3", 1)]["restricted_pallets"] == 3.0
+    per_pallet = by_key(holding.daily_holding(t, AS_OF, pallet_source="units_per_pallet"),
+                        "material_id", "location_id")
+    assert per_pallet[("M1", 1)]["clear_pallets"] == 1.0       # 10 units / 10 per pallet
+    assert per_pallet[("M9", 1)]["clear_pallets"] == 0.0       # no master: NULL -> 0
+    doubled = by_key(holding.daily_holding(t, AS_OF, restricted_rule="blocked_plus_restricted"),
+                     "material_id", "location_id")
+    assert doubled[("M1", 1)]["restricted_pallets"] == 0.0     # blocked 1 + NULL restricted
+    with pytest.raises(ValueError):
+        holding.daily_holding(t, AS_OF, restricted_rule="quality_plus_restricted")

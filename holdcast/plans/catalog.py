@@ -87,6 +87,7 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
         t, AS_OF, pallet_source="units_per_pallet", restricted_rule="quality_plus_restricted"),
     "stock_units_sql": totals.stock_units_sql,
     "on_hand_metrics": lambda t: onhand.on_hand_metrics(t, AS_OF),
+    "on_hand_metrics_as_of": lambda t: onhand.on_hand_metrics(t, AS_OF, join_as_of=True),
     "pallets_from_units": holding.pallets_from_units,
     # week over week, days on hand, report
     "last_week_level": lambda t: holding.last_week_level(t, AS_OF),

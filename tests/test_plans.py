@@ -53,6 +53,7 @@ def lake(spark, tables_small, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     t = tables_small
     t.batch_inventory.write.parquet(str(root / "stock"))
+    t.batch_inventory.write.partitionBy("AvailableDate").parquet(str(root / "stock_by_day"))
     h = t.material_hierarchy
     (h.withColumns({"Year": F.lit(9999), "Month": F.lit(12), "Day": F.lit(31)})
      .unionByName(h.limit(5).withColumns({"Year": F.lit(2024), "Month": F.lit(1), "Day": F.lit(1)}))
@@ -77,6 +78,18 @@ def test_filters_reach_the_parquet_scan(spark, tables_small, lake):
     assert got.count() == 0
 
 
+def test_date_partitioned_stock_prunes_to_three_days(spark, tables_small, lake):
+    stock = src.read_table(spark, str(lake / "stock_by_day"), schema=BATCH_INVENTORY)
+    t = Tables(tables_small.material_master, tables_small.material_hierarchy, stock,
+               tables_small.demand_plan, tables_small.order_tracking)
+    df = holding.holding_report(t, AS_OF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "AvailableDate" in plan.split("PartitionFilters: [")[1][:300]
+    got = df.select("material_id", "location_id", "clear_dollars", "wow_clear_pct")
+    want = holding.holding_report(tables_small, AS_OF).select(got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_current_partition_is_pruned(spark, tables_small, lake):
     h = src.read_current_partition(spark, str(lake / "hierarchy"), schema=MATERIAL_HIERARCHY)
     assert h.count() == tables_small.material_hierarchy.count()

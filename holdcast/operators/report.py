@@ -70,12 +70,12 @@ def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28,
     weekly_rows = daily.withColumns({"year": y, "week": w}).groupBy(
         "material_id", "location_id", "year", "week").agg(
         *[F.sum(dn).alias(wn) for wn, dn in zip(weekly_names, daily_names)])
-    wk_tot = totals._totals(weekly_rows, ["year", "week"], "_weekly")
-    day_tot = totals._totals(daily, ["day"], "_daily")
+    wk_tot = totals.period_totals(weekly_rows, ["year", "week"], "_weekly")
+    day_tot = totals.period_totals(daily, ["day"], "_daily")
     j = with_calendar_totals(with_calendar_totals(dy, wk_tot, ["year", "week"]), day_tot, ["day"])
     j = with_hierarchy(j, tables, on="material_id")
-    wsh = totals._shares(j, "_weekly")
-    dsh = totals._shares(j, "_daily")
+    wsh = totals.share_columns(j, "_weekly")
+    dsh = totals.share_columns(j, "_daily")
     return j.select(
         "material_id", "location_id", "year", "week", *weekly_names,
         *[wsh[n].alias(n) for n in wsh],

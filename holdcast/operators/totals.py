@@ -24,8 +24,9 @@ from holdcast.schemas import Tables
 
 KEYS = ["MaterialID", "LocationID"]
 
-# Pallet expressions per status at batch-row grain (SQL-script form).
+
 def row_pallets() -> dict[str, Column]:
+    """Pallet expression per status at batch-row grain (SQL-script form)."""
     return {
         "clear": F.col(U.UNIT_STOCK["clear"]),
         "blocked": F.col(U.UNIT_STOCK["blocked"]),
@@ -123,7 +124,7 @@ TOTAL_SCALE = 4
 TOTAL_TYPE = f"decimal(38,{TOTAL_SCALE})"
 
 
-def _totals(df: DataFrame, period: list[str], suffix: str) -> DataFrame:
+def period_totals(df: DataFrame, period: list[str], suffix: str) -> DataFrame:
     """Sum of clear + blocked + restricted per period and unit; a row with a
     NULL status contributes nothing (as ``SUM(a + b + c)``)."""
     def row_total(u: str) -> Column:
@@ -135,14 +136,14 @@ def _totals(df: DataFrame, period: list[str], suffix: str) -> DataFrame:
 
 
 def weekly_totals(tables: Tables, iso: bool = False, day_sums: DataFrame | None = None) -> DataFrame:
-    return _totals(weekly_inventory(tables, iso, day_sums), ["year", "week"], "_weekly")
+    return period_totals(weekly_inventory(tables, iso, day_sums), ["year", "week"], "_weekly")
 
 
 def daily_totals(tables: Tables, day_sums: DataFrame | None = None) -> DataFrame:
-    return _totals(daily_inventory(tables, day_sums), ["day"], "_daily")
+    return period_totals(daily_inventory(tables, day_sums), ["day"], "_daily")
 
 
-def _shares(df: DataFrame, suffix: str) -> dict[str, Column]:
+def share_columns(df: DataFrame, suffix: str) -> dict[str, Column]:
     return {f"{s}_{u}{suffix}_pct": share_pct(F.col(f"{s}_{u}{suffix}"), F.col(f"total_{u}{suffix}"))
             for u in U.UNITS for s in S_ORDER}
 
@@ -150,18 +151,18 @@ def _shares(df: DataFrame, suffix: str) -> dict[str, Column]:
 def weekly_share(tables: Tables, iso: bool = False, day_sums: DataFrame | None = None) -> DataFrame:
     """Weekly rows with each measure as a percent of its week's total."""
     wk = weekly_inventory(tables, iso, day_sums)
-    t = _totals(wk, ["year", "week"], "_weekly")
+    t = period_totals(wk, ["year", "week"], "_weekly")
     j = with_calendar_totals(wk, t, ["year", "week"])
-    sh = _shares(j, "_weekly")
+    sh = share_columns(j, "_weekly")
     return j.select(*wk.columns, *[sh[n].alias(n) for n in sh])
 
 
 def daily_share(tables: Tables, day_sums: DataFrame | None = None) -> DataFrame:
     """Daily rows with each measure as a percent of its day's total."""
     dy = daily_inventory(tables, day_sums)
-    t = _totals(dy, ["day"], "_daily")
+    t = period_totals(dy, ["day"], "_daily")
     j = with_calendar_totals(dy, t, ["day"])
-    sh = _shares(j, "_daily")
+    sh = share_columns(j, "_daily")
     return j.select(*dy.columns, *[sh[n].alias(n) for n in sh])
 
 

@@ -9,6 +9,7 @@ last bits between engines; library functions themselves do not round.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,13 +120,26 @@ def run_on(name: str, tables: Tables) -> DataFrame:
     return round_doubles(METRICS[name](tables))
 
 
+# Derived (lazy) tables per session and folder: the driver's files are
+# read-only, so their listing, footers and fixture plans are built once per
+# session instead of once per query. Holds plans, not data.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Tables]]" = weakref.WeakKeyDictionary()
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    per_session = _TABLES.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = load_tables(spark, sf_dir)
+    return per_session[sf_dir]
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the registered query ``name`` over the tables of ``sf_dir``.
 
     Pins the session settings the fixtures and week keys depend on (UTC).
     """
     configure(spark)
-    return round_doubles(METRICS[name](load_tables(spark, sf_dir)))
+    return round_doubles(METRICS[name](tables_for(spark, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -14,9 +14,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from holdcast.session import local_session
-    s = local_session("*", shuffle_partitions=8, app_name="holdcast-tests",
-                      checkpoint_root=tempfile.mkdtemp(prefix="holdcast-ckpt-"))
+    from holdcast.session import checkpoint_dir, local_session
+    s = local_session("*", shuffle_partitions=8, app_name="holdcast-tests")
+    if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        # Only when the environment names no shared folder (as on a laptop).
+        checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="holdcast-ckpt-"))
     yield s
     s.stop()
 

@@ -16,9 +16,11 @@ collected to the driver.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,19 +70,50 @@ REPORTS: dict[str, Callable[[Tables, DateLike, DataFrame | None], DataFrame]] =
 NEEDS_DAY_SUMS = {"daily_share", "weekly_share", "wide_report"}
 
 
+def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: DateLike,
+                     refresh_days: int | None = None) -> DataFrame:
+    """Keep ``path`` (stock day sums, partitioned by ``day``) current; return all of it.
+
+    With ``refresh_days`` only batch rows whose snapshot falls in
+    ``[as_of - refresh_days, as_of + 1)`` are read (a plain timestamp range the
+    reader can push down or prune on) and only those days' partitions are
+    replaced, so a daily run costs the recent days, not the whole history.
+    Without it, or when ``path`` holds nothing yet, every day is recomputed.
+    A day inside the window that no longer has any batch row keeps its old
+    partition; a full refresh removes it.
+    """
+    try:
+        spark.read.parquet(path)   # lists the folder; raises when nothing is there yet
+        exists = True
+    except AnalysisException:
+        exists = False
+    rows = tables.batch_inventory
+    if refresh_days is not None and exists:
+        start = dt.datetime.combine(as_date(as_of) - dt.timedelta(days=refresh_days), dt.time())
+        end = dt.datetime.combine(as_date(as_of) + dt.timedelta(days=1), dt.time())
+        rows = rows.filter((F.col("SnapshotDate") >= F.lit(start)) & (F.col("SnapshotDate") < F.lit(end)))
+    sums = totals.stock_day_sums(Tables(tables.material_master, tables.material_hierarchy, rows,
+                                        tables.demand_plan, tables.order_tracking))
+    write_report(sums, path, partition_by=["day"])
+    return spark.read.parquet(path)
+
+
 def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root: str,
-                names: list[str] | None = None) -> list[str]:
+                names: list[str] | None = None, day_sums_path: str | None = None,
+                refresh_days: int | None = None) -> list[str]:
     """Write each report to ``out_root/<name>/as_of=<date>``; returns the names.
 
-    When more than one full-history report is asked for, the stock table is
-    summed to (material, location, day) once and written to the shared
-    checkpoint folder; those reports then read that table instead of
-    re-scanning every batch row.
+    Full-history reports read stock day sums instead of every batch row: kept
+    current at ``day_sums_path`` (see ``refresh_day_sums``), or, without a path
+    and when more than one such report is asked for, computed once and written
+    to the shared checkpoint folder.
     """
     configure(spark)
     names = names or list(REPORTS)
     day_sums = None
-    if len(NEEDS_DAY_SUMS.intersection(names)) > 1:
+    if day_sums_path and NEEDS_DAY_SUMS.intersection(names):
+        day_sums = refresh_day_sums(spark, tables, day_sums_path, as_of, refresh_days)
+    elif len(NEEDS_DAY_SUMS.intersection(names)) > 1:
         day_sums = materialize(totals.stock_day_sums(tables), "stock_day_sums")
     done = []
     for name in names:
@@ -102,11 +135,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--orders", required=True)
     ap.add_argument("--orders-format", default="parquet")
     ap.add_argument("--reports", default=",".join(REPORTS))
+    ap.add_argument("--day-sums-path", default=None,
+                    help="persistent stock day sums, partitioned by day")
+    ap.add_argument("--refresh-days", type=int, default=None,
+                    help="recompute only this many trailing days of day sums")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("holdcast-daily").getOrCreate()
     paths = LakePaths(a.master, a.hierarchy, a.stock, a.plan_archive, a.orders,
                       a.master_format, a.orders_format)
-    run_reports(spark, load_lake(spark, paths), a.as_of, a.out, a.reports.split(","))
+    run_reports(spark, load_lake(spark, paths), a.as_of, a.out, a.reports.split(","),
+                a.day_sums_path, a.refresh_days)
 
 
 if __name__ == "__main__":

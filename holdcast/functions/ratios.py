@@ -16,6 +16,19 @@ def share_pct(part: Column, total: Column) -> Column:
     return F.try_divide(part, total) * 100
 
 
+def round_half_up(c: Column, places: int) -> Column:
+    """Round half up, taking the value as a 12-decimal number first.
+
+    A money or ratio value that is a decimal tie in exact arithmetic (400.96875)
+    often arrives as float noise just below it (400.96874999999994) after a few
+    multiplications, and would round down in one engine and up in another.
+    Fixing 12 decimals first makes both the tie. Values outside DECIMAL(38,12)
+    fall back to ``round`` on the double.
+    """
+    snapped = F.round(c.try_cast("decimal(38,12)"), places).cast("double")
+    return F.coalesce(snapped, F.round(c, places))
+
+
 def bias(demand: Column, actual: Column, absolute: bool = True) -> Column:
     """(demand - actual) / actual; NULL when actual is 0 or NULL."""
     b = F.try_divide(demand - actual, actual)

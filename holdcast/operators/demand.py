@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdcast.functions.dates import DateLike, between_days, since
-from holdcast.functions.ratios import bias
+from holdcast.functions.ratios import bias, round_half_up
 from holdcast.schemas import Tables
 
 PLAN_KEYS = ["DATE", "LocationID", "MaterialID"]
@@ -130,7 +130,7 @@ def bias_90d(tables: Tables, as_of: DateLike, days: int = 90) -> DataFrame:
     j = f.join(a, "MaterialID", "left")
     fc = F.coalesce(F.col("DemandForecast"), F.lit(0.0))
     ac = F.coalesce(F.col("ActualDemand"), F.lit(0.0))
-    b = F.round(F.abs(F.try_divide(fc - ac, F.coalesce(F.col("ActualDemand"), F.lit(1.0)))), 3)
+    b = round_half_up(F.abs(F.try_divide(fc - ac, F.coalesce(F.col("ActualDemand"), F.lit(1.0)))), 3)
     return j.select("DATE", "LocationID", "MaterialID", "DemandForecast", "ActualDemand",
                     b.alias("Bias"))
 
@@ -146,4 +146,4 @@ def bias_90d_aligned(tables: Tables, as_of: DateLike, days: int = 90) -> DataFra
     j = f.join(a, "MaterialID", "left")
     fc = F.coalesce(F.col("DemandForecast"), F.lit(0.0))
     return j.select("MaterialID", "DemandForecast", "ActualDemand",
-                    F.round(bias(fc, F.col("ActualDemand")), 3).alias("Bias"))
+                    round_half_up(bias(fc, F.col("ActualDemand")), 3).alias("Bias"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from holdcast.functions import units as U
 from holdcast.functions.dates import calendar_week, iso_week
-from holdcast.functions.ratios import share_pct
+from holdcast.functions.ratios import round_half_up, share_pct
 from holdcast.plans.joins import with_calendar_totals, with_material_master
 from holdcast.schemas import Tables
 
@@ -130,7 +130,7 @@ def period_totals(df: DataFrame, period: list[str], suffix: str) -> DataFrame:
     def row_total(u: str) -> Column:
         t = (F.col(f"clear_{u}{suffix}") + F.col(f"blocked_{u}{suffix}")
              + F.col(f"restricted_{u}{suffix}"))
-        return F.round(t, TOTAL_SCALE).cast(TOTAL_TYPE)
+        return round_half_up(t, TOTAL_SCALE).cast(TOTAL_TYPE)
     return df.groupBy(*period).agg(*[
         F.sum(row_total(u)).alias(f"total_{u}{suffix}") for u in U.UNITS])
 

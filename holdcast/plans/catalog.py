@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from holdcast.functions import units as U
 from holdcast.functions.dates import since
+from holdcast.functions.ratios import round_half_up
 from holdcast.operators import demand, holding, onhand, report, snapshots, totals
 from holdcast.schemas import Tables
 from holdcast.session import configure
@@ -28,7 +29,7 @@ DECIMALS = 4
 
 def round_doubles(df: DataFrame, places: int = DECIMALS) -> DataFrame:
     return df.select([
-        F.round(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+        round_half_up(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
         else F.col(f.name) for f in df.schema.fields])
 
 

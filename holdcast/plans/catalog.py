@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from holdcast.functions import units as U
 from holdcast.functions.dates import since
-from holdcast.functions.ratios import round_half_up
 from holdcast.operators import demand, holding, onhand, report, snapshots, totals
 from holdcast.schemas import Tables
 from holdcast.session import configure
@@ -28,9 +27,15 @@ DECIMALS = 4
 
 
 def round_doubles(df: DataFrame, places: int = DECIMALS) -> DataFrame:
+    """Round every DOUBLE column to ``places`` decimals: ``floor(x * 10^p + 0.5) / 10^p``.
+
+    Plain IEEE double arithmetic, so Spark and the oracle produce the same bits
+    (no per-value BigDecimal, which cost more than the report itself).
+    """
+    scale = float(10 ** places)
     return df.select([
-        round_half_up(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f.name) for f in df.schema.fields])
+        (F.floor(F.col(f.name) * scale + 0.5) / scale).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema.fields])
 
 
 def _daily_unit(unit: str) -> Callable[[Tables], DataFrame]:

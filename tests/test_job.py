@@ -94,3 +94,15 @@ def test_job_with_persistent_day_sums_equals_fresh_reports(spark, tables_small,
         ra = a.select([F.round(c, 6).alias(c) if d == "double" else F.col(c) for c, d in a.dtypes])
         rb = b.select([F.round(c, 6).alias(c) if d == "double" else F.col(c) for c, d in b.dtypes])
         assert ra.count() == rb.count() and ra.exceptAll(rb.select(ra.columns)).count() == 0, n
+
+
+def test_materialize_writes_under_the_checkpoint_folder(spark, tables_small):
+    from holdcast.operators import totals
+    from holdcast.plans.stage import materialize
+    from holdcast.session import checkpoint_dir
+    df = totals.stock_day_sums(tables_small)
+    m = materialize(df, "unit_test")
+    from urllib.parse import urlparse
+    root = urlparse(checkpoint_dir(spark)).path
+    assert m.inputFiles() and all(urlparse(f).path.startswith(root) for f in m.inputFiles())
+    assert m.exceptAll(df).count() == 0 and df.exceptAll(m).count() == 0

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from holdcast.operators import demand, holding, onhand, totals
-from literal import AS_OF, by_key, day, stock_row, tables
+from literal import AS_OF, by_key, day, stock_row, tables, ts
 
 MASTER = [
     {"MaterialID": "M1", "ProductPlanningUnitsPerPallet": 10, "ProductPlanningUnitsPerCase": 2,
@@ -257,3 +257,32 @@ def test_pallet_source_and_restricted_rule(t):
     assert doubled[("M1", 1)]["restricted_pallets"] == 0.0     # blocked 1 + NULL restricted
     with pytest.raises(ValueError):
         holding.daily_holding(t, AS_OF, restricted_rule="quality_plus_restricted")
+
+
+def test_wide_report_aligned_rows(spark):
+    from holdcast.operators import report, snapshots
+    # Two days of ISO week 2025-W02 for (M1, 1), one day for (M2, 1); plan and order for (M1, 1) on day(0).
+    s = [stock_row("M1", 1, 0, clear=4.0), stock_row("M1", 1, 1, clear=6.0),
+         stock_row("M2", 1, 0, clear=10.0)]
+    plan = [{"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "SnapshotDate": day(1),
+             "Modified_date": day(1), "ConsensusDemandPlan": 5.0, "SalesActualCustomerOrders": 0.0,
+             "DependentDemand": 0.0, "plan_row_id": 1}]
+    orders = [{"MaterialNumber": "M1", "GoodsIssueDate": day(0),
+               "ActualQuantityDeliveredInSalesUnits": 4.0, "ConfirmedQuantity": 4.0}]
+    t = tables(spark, master=MASTER, stock=s, plan=plan, orders=orders,
+               hierarchy=[{"MaterialID": "M1", "Division": "D", "Network": "AMBIENT",
+                           "ProductLevel3CategoryID": "P"}])
+    got = by_key(report.wide_report_aligned(t, AS_OF), "material_id", "location_id", "day")
+    assert set(got) == {("M1", 1, day(0)), ("M1", 1, day(1)), ("M2", 1, day(0))}
+    today, yday = got[("M1", 1, day(0))], got[("M1", 1, day(1))]
+    assert (today["year"], today["week"]) == (2025, 2)
+    assert today["clear_pallets_weekly"] == yday["clear_pallets_weekly"] == 10.0
+    assert today["clear_pallets_daily_pct"] == pytest.approx(4.0 / 14.0 * 100)   # day total 4 + 10
+    assert today["clear_pallets_weekly_pct"] == pytest.approx(10.0 / 20.0 * 100)  # week total 10 + 10
+    assert today["Network"] == "AMBIENT" and got[("M2", 1, day(0))]["Network"] is None
+    assert today["Bias_Perc"] == pytest.approx(0.25)       # |5 - 4| / 4 on its own day only
+    assert yday["Bias_Perc"] is None
+
+    snaps = snapshots.latest_snapshot(t).collect()
+    m1 = [r for r in snaps if r["material_id"] == "M1"]
+    assert len(m1) == 2 and {r["latest_date"] for r in m1} == {ts(0)}

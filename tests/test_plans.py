@@ -122,3 +122,27 @@ def test_views_serve_spark_sql(spark, tables_small):
         SELECT b.MaterialID, COUNT(*) AS n FROM batch_inventory_actual_v b
         LEFT JOIN material_master_v m ON m.MaterialID = b.MaterialID GROUP BY b.MaterialID""")
     assert got.count() == tables_small.batch_inventory.select("MaterialID").distinct().count()
+
+
+def test_business_filter_ands_its_conditions(spark, tables_small):
+    from holdcast.operators import report
+    w = report.weekly_with_hierarchy(tables_small)
+    one = w.select("material_id", "location_id", "Network").first()
+    got = report.filter_holdings(w, material=one["material_id"], location=one["location_id"],
+                                 network=one["Network"])
+    rows = got.collect()
+    assert rows and all(r["material_id"] == one["material_id"] and r["location_id"] == one["location_id"]
+                        for r in rows)
+    assert report.filter_holdings(w, network="NO SUCH NETWORK").count() == 0
+    assert report.filter_holdings(w).count() == w.count()   # no condition: unfiltered
+
+
+def test_read_table_passes_reader_options(spark, tables_small, tmp_path):
+    path = str(tmp_path / "master_csv")
+    tables_small.material_master.write.option("header", "true").csv(path)
+    from holdcast.schemas import MATERIAL_MASTER
+    df = src.read_table(spark, path, fmt="csv", schema=MATERIAL_MASTER,
+                        options={"header": "true", "inferSchema": "true"})
+    assert df.schema == MATERIAL_MASTER or [f.dataType for f in df.schema] == [
+        f.dataType for f in MATERIAL_MASTER]
+    assert df.count() == tables_small.material_master.count()

@@ -6,11 +6,13 @@ Two families:
   reference's plan-driven daily table: the day's plan keys left-joined to the
   day's batch rows and master, then whole-row distinct, then the nine
   measures per batch row.
-* ``stock_by_key`` / ``holding_report`` and friends are the corrected,
-  stock-driven form at (material, location) grain: one scan of the stock
-  table for all the dates a report needs (``AvailableDate IN (...)`` is
-  pushed to the reader), conditional sums in one aggregation, then the master
-  join. Last week is the value seven days earlier, not a lag over one day.
+* ``stock_by_key`` / ``holding_report`` and friends are the corrected form at
+  (material, location) grain, stock-driven by default (``driver="plan"``
+  gives the planned keys instead): one scan of the stock table for all the
+  dates a report needs (``AvailableDate IN (...)`` is pushed to the reader),
+  conditional sums in one aggregation, then the master join. Last week is the
+  value seven days earlier, not a lag over one day. ``pallet_source`` and
+  ``restricted_rule`` choose among the reference's definitions explicitly.
 """
 
 from __future__ import annotations

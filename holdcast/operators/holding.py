@@ -241,7 +241,7 @@ def holding_report(tables: Tables, as_of: DateLike, driver: str = "stock",
     )
 
 
-# Output names of the reference's holding report, for users who need them.
+# The reference report's output column names, keyed by ours.
 REFERENCE_NAMES = {
     "date": "Date", "location_id": "Location", "material_id": "Material ID",
     "clear_pallets": "InventoryClear_pallets", "restricted_pallets": "InventoryRestricted_pallets",

@@ -124,3 +124,23 @@ def test_bias_28d_matches_line_level_definition(spark, plans, orders):
         assert _close(got[k]["Total_Demand_Quantity_Cases"], dsum)
         want = None if (a in (None, 0) or dsum is None) else abs((dsum - a) / a)
         assert _close(got[k]["Bias_Perc"], want)
+
+
+key = st.tuples(st.sampled_from(["A", "B", "C", None]), st.sampled_from([1, 2]))
+
+
+@SETTINGS
+@given(keys=st.lists(key, max_size=6, unique=True),
+       rows=st.lists(st.tuples(key, st.one_of(st.none(), st.integers(0, 3))), max_size=12))
+def test_semi_anti_rewrite_equals_left_join(spark, keys, rows):
+    from pyspark.sql import types as T
+
+    from holdcast.plans.joins import left_join_keys_to_rows
+    ks = T.StructType([T.StructField("m", T.StringType()), T.StructField("l", T.IntegerType())])
+    rs = T.StructType(ks.fields + [T.StructField("v", T.IntegerType())])
+    kdf = spark.createDataFrame(keys, ks)
+    rdf = spark.createDataFrame([(m, l, v) for (m, l), v in rows], rs)
+    got = left_join_keys_to_rows(kdf, rdf, ["m", "l"])
+    want = kdf.join(rdf, ["m", "l"], "left")
+    from collections import Counter
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.select(got.columns).collect()))

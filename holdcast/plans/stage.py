@@ -5,14 +5,14 @@ Writes the DataFrame as parquet under the cluster's shared checkpoint folder
 start from those files: the expensive lineage (a full scan and shuffle of the
 stock table) runs once, and a lost executor costs a re-read of shared files,
 not a recomputation. Never ``localCheckpoint``: its blocks die with the
-executor.
+executor. The files go when the application ends.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from holdcast.session import checkpoint_dir
 
@@ -22,4 +22,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     root = checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/holdcast-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    drop_at_end(spark, path)
     return spark.read.parquet(path)
+
+
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system delete ``path`` when the application ends; later jobs may read it until then."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)

@@ -56,11 +56,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; sets ``fallback``
     only when it is unset (local tests). Raises when neither exists, because a
-    machine-local temp folder is not visible to other executors.
+    machine-local temp folder is not visible to other executors. For the same
+    reason a ``file:`` folder is refused on a cluster, unless the session says
+    that it is a mount all machines share (``spark.holdcast.sharedMount=true``).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
+        _check_shared(sc, current)
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
@@ -68,3 +71,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir() or fallback
+
+
+def _check_shared(sc, path: str) -> None:
+    local = path.startswith("file:") and not sc.master.startswith("local")
+    if local and sc.getConf().get("spark.holdcast.sharedMount", "false") != "true":
+        raise RuntimeError(f"spark.checkpoint.dir is {path}, which other machines cannot read; "
+                           "name a shared folder, or set spark.holdcast.sharedMount=true for a shared mount")

@@ -118,7 +118,8 @@ def exact_duplicates(docs: DataFrame, digest=sha256_of, folder: str | None = Non
     # Full bytes: a digest that stands for one text only has lo = hi.
     texts = rows.groupBy("digest", "text").agg(F.count("*").alias("n"), F.max("row").alias("stays"))
     clashes = stash(texts.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1"), "exactdedup-clash")
-    found = slim.join(groups, "digest")
+    # Written first, so that the join deals both sides and may split a frequent digest.
+    found = slim.join(stash(groups, "exactdedup-groups"), "digest")
     if clashes.isEmpty():
         return found
     apart = rows.join(clashes, "digest", "left_semi")

@@ -111,8 +111,9 @@ def with_references(pages: DataFrame, minimum: int = MINIMUM) -> DataFrame:
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         html.alias("payload"), F.when(F.octet_length(html) >= minimum, F.unhex(F.sha2(html, 256))).alias("key"))
-    several = rows.filter("key is not null").groupBy(F.col("key").alias("__key")).agg(
-        F.count("*").alias("n"), F.max("page_id").alias("stored")).filter("n > 1").select("__key", "stored")
+    # Written first, so that the join deals both sides and may split a frequent payload.
+    several = stash(rows.filter("key is not null").groupBy(F.col("key").alias("__key")).agg(
+        F.count("*").alias("n"), F.max("page_id").alias("stored")).filter("n > 1").select("__key", "stored"), "warc-several")
     return rows.join(several, F.col("key") == F.col("__key"), "left").select(
         "page_id", "url", "payload",
         F.when(~F.col("page_id").eqNullSafe(F.col("stored")), F.col("stored")).alias("refers_to"))

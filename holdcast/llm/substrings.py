@@ -43,6 +43,7 @@ BLOCK = WINDOW // 2
 FLUSH_WORDS = 1 << 21        # words whose hashes are sorted and packed at a time
 SLICE_WORDS = 1 << 21        # words of the corpus that a slice answers for, about
 DOCS = 1 << 16               # documents in one packed array, at most
+BUCKET_DOCS = 1 << 12        # documents whose answers travel together, about
 
 # Odd multipliers of the word hashes and of the sequences of words.
 _WORD = Rolling(0x9E3779B97F4A7C15), Rolling(0xD6E8FEB86659FD93)
@@ -179,19 +180,50 @@ def _slice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[t
         yield now, held
 
 
-def _by_doc(doc: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
-    """(document, its values...) for every document."""
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    ends = np.r_[heads[1:], len(doc)]
-    values = [v[order] for v in values]
-    for a, b in zip(heads.tolist(), ends.tolist()):
-        yield (doc[a].item(), *[v[a:b] for v in values])
+def _bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix64(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def hits(found: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, hits): packed anchor hashes of a slice that are a block and occur in two documents."""
+ANSWERS = "bucket bigint, ids binary, texts binary, values binary"
+
+
+def _answers(doc: np.ndarray, text: np.ndarray, values: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """One packed row for each bucket of documents that a slice has answers for."""
+    bucket = _bucket(doc, buckets)
+    order = np.lexsort((text, doc, bucket))
+    bucket, doc, text, values = bucket[order], doc[order], text[order], values[order]
+    edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)] if len(bucket) else np.zeros(1, np.int64)
+    rows = [(int(bucket[a]), pack(doc[a:b]), pack(text[a:b]), values[a:b].tobytes())
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+    for at in range(0, len(rows), 256):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*rows[at:at + 256]), [pa.int64(), *[pa.binary()] * 3])],
+            names=[c.split()[0] for c in ANSWERS.split(", ")])
+
+
+def _per_text(answers: DataFrame, kind, name: str) -> DataFrame:
+    """(doc_id, content, name): the answers of all slices for one text, as one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _slice_rows(batches):
+            doc, text = (np.concatenate([unpack(r[k], np.int64) for r in rows]) for k in (0, 1))
+            values = np.concatenate([np.frombuffer(r[2], kind) for r in rows])
+            order = np.lexsort((text, doc))
+            doc, text, values = doc[order], text[order], values[order]
+            heads = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])
+            ends = np.r_[heads[1:], len(doc)]
+            for at in range(0, len(heads), 1024):
+                h, e = heads[at:at + 1024], ends[at:at + 1024]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[h]), pa.array(text[h]),
+                     pa.array([values[a:b].tobytes() for a, b in zip(h.tolist(), e.tolist())], pa.binary())],
+                    names=["doc_id", "content", name])
+
+    return answers.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        run, f"doc_id bigint, content bigint, {name} binary")
+
+
+def hits(found: DataFrame, bits: int, buckets: int) -> DataFrame:
+    """(doc_id, hits): hashes of a document's windows that are some block and occur in two documents."""
     rest = _rest_bits(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,13 +238,10 @@ def hits(found: DataFrame, bits: int) -> DataFrame:
                 np.maximum.reduceat(block, heads) > 0)
             keep = np.repeat(shared, np.diff(np.r_[heads, len(hashes)]))
             whole = hashes[keep].astype(np.uint64) | np.uint64(part << rest)
-            answers = [(d, h.tobytes()) for d, h in _by_doc(doc[keep], whole)]
-            for at in range(0, len(answers), 4096):
-                ids, values = zip(*answers[at:at + 4096])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.binary())],
-                                                 names=["doc_id", "hits"])
+            yield from _answers(doc[keep], np.zeros(len(whole), np.int64), whole, buckets)
 
-    return found.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, "doc_id bigint, hits binary")
+    answers = found.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, ANSWERS)
+    return _per_text(answers, np.uint64, "hits").drop("content")
 
 
 def _candidate_windows(words: np.ndarray, marked: np.ndarray, bits: int) -> np.ndarray:
@@ -259,7 +288,7 @@ def windows(candidates: DataFrame, bits: int) -> DataFrame:
             for doc_id, content, text, found in zip(*(batch.column(k) for k in range(4))):
                 data, bounds = flat_text(pa.array([text.as_py()], pa.string()))
                 words, _ = word_hashes(data, bounds)
-                marked = np.frombuffer(b"".join(found.as_py()), np.uint64)
+                marked = np.frombuffer(found.as_py(), np.uint64)
                 start = _candidate_windows(words, marked, bits)
                 if not len(start):
                     continue
@@ -275,7 +304,7 @@ def windows(candidates: DataFrame, bits: int) -> DataFrame:
     return candidates.select("doc_id", "content", "text", "hits").mapInArrow(run, WINDOWS)
 
 
-def repeats(found: DataFrame) -> DataFrame:
+def repeats(found: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, content, starts): windows of a text that also start in a smaller doc_id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _slice_rows(batches):
@@ -289,16 +318,10 @@ def repeats(found: DataFrame) -> DataFrame:
             heads = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
             least = np.repeat(doc[heads], np.diff(np.r_[heads, len(doc)]))
             gone = least < doc
-            answers = [(d, int(t), s[t_ == t].tobytes()) for d, t_, s in _by_doc(doc[gone], text[gone], start[gone])
-                       for t in np.unique(t_)]
-            for k in range(0, len(answers), 4096):
-                ids, texts, starts = zip(*answers[k:k + 4096])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(starts, pa.binary())],
-                    names=["doc_id", "content", "starts"])
+            yield from _answers(doc[gone], text[gone], start[gone], buckets)
 
-    return found.repartition("slice").sortWithinPartitions("slice").mapInArrow(
-        run, "doc_id bigint, content bigint, starts binary")
+    answers = found.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, ANSWERS)
+    return _per_text(answers, np.uint32, "starts")
 
 
 def kept_words(text: str, starts: np.ndarray) -> tuple[int, int, str]:
@@ -341,28 +364,28 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
     facts = stash(summaries(texts), "substring-facts")
-    words = facts.agg(F.sum("n_words")).first()[0] or 0
-    bits = _slice_bits(words)
+    total = facts.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.count("*").alias("rows")).first()
+    bits, buckets = _slice_bits(total["words"]), max(1, total["rows"] // BUCKET_DOCS)
     ordered = texts.filter("doc_id is not null")
-    found = hits(anchors(ordered, bits), bits)
+    found = hits(anchors(ordered, bits), bits, buckets)
     # Of equal texts the least doc_id goes on; the others repeat it as a whole.
-    copies = facts.filter(f"doc_id is not null and n_words >= {WINDOW}").groupBy("content").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("content", "first")
-    copies = stash(facts.join(copies, "content").filter("doc_id > first").select(
+    firsts = stash(facts.filter(f"doc_id is not null and n_words >= {WINDOW}").groupBy("content").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("content", "first"),
+        "substring-firsts")
+    copies = stash(facts.join(firsts, "content").filter("doc_id > first").select(
         "doc_id", "content", "n_words"), "substring-copies")
     whole = F.unhex(F.sha2("text", 256))
-    per_doc = found.groupBy("doc_id").agg(F.collect_list("hits").alias("hits"))
-    met = ordered.join(per_doc, "doc_id").withColumn("digest", whole)
+    met = ordered.join(found, "doc_id").withColumn("digest", whole)
     gone = copies.select(F.col("doc_id").alias("copy_id"), F.col("content").alias("copy"))
     candidates = stash(met.join(gone, (F.col("doc_id") == F.col("copy_id")) & (F.col("digest") == F.col("copy")), "left_anti")
                        .dropDuplicates(["doc_id", "digest"]).withColumn("content", F.xxhash64("digest")), "substring-candidates")
-    starts = repeats(windows(candidates, bits)).groupBy("doc_id", "content").agg(F.collect_list("starts").alias("starts"))
+    starts = repeats(windows(candidates, bits), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc_id, digest, text, found in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                n, lost, kept = kept_words(text, np.frombuffer(b"".join(found), np.uint32).astype(np.int64))
+                n, lost, kept = kept_words(text, np.frombuffer(found, np.uint32).astype(np.int64))
                 rows.append((doc_id, digest, n, lost, _sha(kept), kept))
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],

@@ -221,7 +221,8 @@ def taken_segments(recs: DataFrame, names: list[str | None], shares: list[Share]
     used = slots(recs.sparkSession, shares, block, shards).groupBy("source_no", "block").agg(
         F.count("*").alias("times"), F.min("words").alias("words"))
     part = F.greatest(F.lit(0), F.least(F.col("n"), F.col("words") - F.col("at")))
-    return segments(recs, names, block).join(used, ["source_no", "block"]).select(
+    # Spark takes the slots for as small as the plan they are made from; they grow with the corpus.
+    return segments(recs, names, block).join(used.hint("merge"), ["source_no", "block"]).select(
         "id", "source_no", "begin", "n", (F.col("times") - 1).alias("times"), part.alias("part"))
 
 

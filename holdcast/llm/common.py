@@ -22,7 +22,7 @@ from holdcast.session import configure
 ARROW_ROWS = 2048
 ARROW_BYTES = 8 << 20
 #: Bytes of text worked on at a time inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Word separators of every contract here: space and 0x09-0x0D. All are single
 # UTF-8 bytes, so words can be cut on bytes.

@@ -26,7 +26,7 @@ from holdcast.schemas import Tables
 PLAN_KEYS = ["DATE", "LocationID", "MaterialID"]
 # Ranking order of plan rows, most recent first. SnapshotDate and Modified_date
 # are the reference's; the rest break its ties so the result is deterministic.
-PLAN_ORDER = ["SnapshotDate", "Modified_date", "plan_row_id", "ConsensusDemandPlan",
+PLAN_ORDER = ["SnapshotDate", "Modified_date", "ConsensusDemandPlan",
               "SalesActualCustomerOrders", "DependentDemand"]
 PLAN_PAYLOAD = ["ConsensusDemandPlan", "SalesActualCustomerOrders", "DependentDemand"]
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from holdcast.functions import units as U
 from holdcast.functions.dates import calendar_week, iso_week
-from holdcast.functions.ratios import round_half_up, share_pct
+from holdcast.functions.ratios import share_pct
 from holdcast.plans.joins import with_calendar_totals, with_material_master
 from holdcast.schemas import Tables
 
@@ -116,23 +116,25 @@ def weekly_inventory(tables: Tables, iso: bool = False, day_sums: DataFrame | No
     return _measures(g, tables, "_weekly")
 
 
-# Period totals accumulate in DECIMAL: each row's clear + blocked + restricted
-# is fixed to TOTAL_SCALE decimals, then summed exactly. A DOUBLE sum over
-# millions of rows depends on the order partitions arrive in, so the same
-# report would differ in its last digits from run to run and cluster to cluster.
-TOTAL_SCALE = 4
-TOTAL_TYPE = f"decimal(38,{TOTAL_SCALE})"
+def exact_sum(x: Column) -> Column:
+    """Sum of a DOUBLE that hardly depends on the order of its rows, and cuts none.
+
+    The part of each value that fits twelve decimals is summed exactly, what is
+    left of it as DOUBLE. Values (or sums) beyond the decimal are summed as DOUBLE.
+    """
+    fixed = F.when(x.isNotNull(), F.coalesce(x.try_cast("decimal(38,12)"), F.lit(0).cast("decimal(38,12)")))
+    return F.coalesce(F.try_sum(fixed).cast("double") + F.sum(x - fixed.cast("double")), F.sum(x))
 
 
 def period_totals(df: DataFrame, period: list[str], suffix: str) -> DataFrame:
     """Sum of clear + blocked + restricted per period and unit; a row with a
-    NULL status contributes nothing (as ``SUM(a + b + c)``)."""
+    NULL status contributes nothing (as ``SUM(a + b + c)``). Rows are summed
+    unrounded, however small."""
     def row_total(u: str) -> Column:
-        t = (F.col(f"clear_{u}{suffix}") + F.col(f"blocked_{u}{suffix}")
-             + F.col(f"restricted_{u}{suffix}"))
-        return round_half_up(t, TOTAL_SCALE).cast(TOTAL_TYPE)
+        return (F.col(f"clear_{u}{suffix}") + F.col(f"blocked_{u}{suffix}")
+                + F.col(f"restricted_{u}{suffix}"))
     return df.groupBy(*period).agg(*[
-        F.sum(row_total(u)).alias(f"total_{u}{suffix}") for u in U.UNITS])
+        exact_sum(row_total(u)).alias(f"total_{u}{suffix}") for u in U.UNITS])
 
 
 def weekly_totals(tables: Tables, iso: bool = False, day_sums: DataFrame | None = None) -> DataFrame:

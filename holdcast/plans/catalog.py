@@ -27,14 +27,15 @@ DECIMALS = 4
 
 
 def round_doubles(df: DataFrame, places: int = DECIMALS) -> DataFrame:
-    """Round every DOUBLE column to ``places`` decimals: ``floor(x * 10^p + 0.5) / 10^p``.
+    """Round every DOUBLE column to ``places`` decimals: ``rint(x * 10^p) / 10^p``.
 
     Plain IEEE double arithmetic, so Spark and the oracle produce the same bits
-    (no per-value BigDecimal, which cost more than the report itself).
+    (no per-value BigDecimal, which cost more than the report itself). Nothing
+    leaves DOUBLE, so large values, NaN and infinities stay what they are.
     """
     scale = float(10 ** places)
     return df.select([
-        (F.floor(F.col(f.name) * scale + 0.5) / scale).alias(f.name)
+        (F.rint(F.col(f.name) * scale) / scale).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema.fields])
 
 

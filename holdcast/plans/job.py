@@ -79,8 +79,8 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
     reader can push down or prune on) and only those days' partitions are
     replaced, so a daily run costs the recent days, not the whole history.
     Without it, or when ``path`` holds nothing yet, every day is recomputed.
-    A day inside the window that no longer has any batch row keeps its old
-    partition; a full refresh removes it.
+    A day of the window, or of a full refresh any day, that no longer has a
+    batch row loses its partition.
     """
     try:
         spark.read.parquet(path)   # lists the folder; raises when nothing is there yet
@@ -94,10 +94,23 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
         rows = rows.filter((F.col("SnapshotDate") >= F.lit(start)) & (F.col("SnapshotDate") < F.lit(end)))
     sums = totals.stock_day_sums(Tables(tables.material_master, tables.material_hierarchy, rows,
                                         tables.demand_plan, tables.order_tracking))
-    write_report(sums, path, partition_by=["day"])
+    partial = refresh_days is not None and exists
+    write_report(sums, path, partition_by=["day"], replace_all=not partial)
+    if partial:
+        _drop_empty_days(spark, sums, path, as_of, refresh_days)
     return spark.read.parquet(path)
 
 
+def _drop_empty_days(spark: SparkSession, sums: DataFrame, path: str, as_of: DateLike, refresh_days: int) -> None:
+    """Delete the window's partitions for which ``sums`` has no row (at most ``refresh_days`` + 1 of them)."""
+    present = {r["day"] for r in sums.select("day").distinct().collect()}
+    for back in range(refresh_days + 1):
+        day = as_date(as_of) - dt.timedelta(days=back)
+        if day not in present:
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/day={day.isoformat()}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root: str,
                 names: list[str] | None = None, day_sums_path: str | None = None,
                 refresh_days: int | None = None) -> list[str]:

@@ -43,7 +43,6 @@ BATCH_INVENTORY = T.StructType([
     T.StructField("PalletStockUnRestricted", T.DoubleType()),
     T.StructField("PalletStockRestricted", T.DoubleType()),
     T.StructField("PalletStockBlocked", T.DoubleType()),
-    T.StructField("batch_row_id", T.LongType()),
 ])
 
 DEMAND_PLAN = T.StructType([
@@ -56,7 +55,6 @@ DEMAND_PLAN = T.StructType([
     T.StructField("ConsensusDemandPlan", T.DoubleType()),
     T.StructField("SalesActualCustomerOrders", T.DoubleType()),
     T.StructField("DependentDemand", T.DoubleType()),
-    T.StructField("plan_row_id", T.LongType()),
 ])
 
 ORDER_TRACKING = T.StructType([

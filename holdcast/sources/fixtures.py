@@ -7,9 +7,9 @@ so every query built on them scales with the scale factor. The same mapping is
 written in SQL for the DuckDB oracle (``holdcast.plans.oracle``).
 
 The modulo conditions only shape values: NULL or zero divisors, missing
-prices, parts without a master or hierarchy row (1 in 13 and 1 in 11 parts).
-No fact row is dropped: stock, plan and order tables keep every line item, so
-every query's work grows with the whole input.
+prices, materials without a master row, planned materials without stock. No
+row is dropped: the dimensions keep every part; stock, plan and order tables
+keep every line item, so every query's work grows with the whole input.
 
 All are narrow projections of one scan each, written as Spark SQL over
 DataFrame parameters; the plan table is three rows per line item produced by
@@ -34,6 +34,10 @@ PLAN_SNAPSHOT_LAGS = (0, 1, 100)          # plan snapshots taken 0, 1 and 100 da
 AS_OF = dt.date(2025, 1, 12)              # as-of date every registered query uses
 
 
+# Materials that no master row has: of 1 in 13 parts; and planned materials that no stock row has: of 1 in 31.
+UNKNOWN = "CASE WHEN l_partkey % 13 = 0 THEN 5000000 ELSE 0 END"
+PLANNED = "CASE WHEN l_partkey % 13 = 0 THEN 5000000 WHEN l_partkey % 31 = 0 THEN 6000000 ELSE 0 END"
+
 D0 = f"DATE '{FIRST_STOCK_DAY.isoformat()}'"
 LAGS = ", ".join(str(d) for d in PLAN_SNAPSHOT_LAGS)
 
@@ -47,16 +51,16 @@ SELECT CAST({MATERIAL_BASE} + p_partkey AS STRING) AS MaterialID,
   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_retailprice END AS ProductListPrice,
   CASE WHEN p_partkey % 25 = 0 THEN NULL ELSE p_retailprice * 0.5D END AS ProductStandardCost,
   p_partkey AS ProductID, p_name AS ProductDescription
-FROM {{part}} WHERE p_partkey % 13 <> 0"""
+FROM {{part}}"""
 
 MATERIAL_HIERARCHY_SQL = f"""
 SELECT CAST({MATERIAL_BASE} + p_partkey AS STRING) AS MaterialID, p_type AS Division,
   CASE WHEN p_partkey % 2 = 0 THEN 'AMBIENT' ELSE 'CHILLED' END AS Network,
   p_brand AS ProductLevel3CategoryID
-FROM {{part}} WHERE p_partkey % 11 <> 0"""
+FROM {{part}}"""
 
 BATCH_INVENTORY_SQL = f"""
-SELECT CAST({MATERIAL_BASE} + l_partkey AS STRING) AS MaterialID,
+SELECT CAST({MATERIAL_BASE} + l_partkey + {UNKNOWN} AS STRING) AS MaterialID,
   CAST({LOCATION_BASE} + l_suppkey % 4 AS INT) AS LocationID,
   {D0} + CAST(l_orderkey % {STOCK_DAYS} AS INT) AS AvailableDate,
   CAST({D0} + CAST(l_orderkey % {STOCK_DAYS} AS INT) AS TIMESTAMP) + INTERVAL 6 HOURS AS SnapshotDate,
@@ -68,25 +72,23 @@ SELECT CAST({MATERIAL_BASE} + l_partkey AS STRING) AS MaterialID,
     AS InventoryStockInQualityInspection,
   CASE WHEN l_returnflag = 'N' THEN l_quantity END AS PalletStockUnRestricted,
   CASE WHEN l_returnflag = 'A' THEN l_quantity END AS PalletStockRestricted,
-  CASE WHEN l_returnflag = 'R' THEN l_quantity END AS PalletStockBlocked,
-  l_orderkey * 10 + l_linenumber AS batch_row_id
+  CASE WHEN l_returnflag = 'R' THEN l_quantity END AS PalletStockBlocked
 FROM {{lineitem}}"""
 
 # Three snapshot rows per line item from a generator (no join).
 DEMAND_PLAN_SQL = f"""
 SELECT {D0} + CAST(l_orderkey % {STOCK_DAYS} AS INT) AS DATE,
   CAST({LOCATION_BASE} + l_suppkey % 4 AS INT) AS LocationID,
-  CAST({MATERIAL_BASE} + l_partkey AS STRING) AS MaterialID, 'CS' AS UnitofMeasure,
+  CAST({MATERIAL_BASE} + l_partkey + {PLANNED} AS STRING) AS MaterialID, 'CS' AS UnitofMeasure,
   {D0} + CAST(l_orderkey % {STOCK_DAYS} - lag_days AS INT) AS SnapshotDate,
   {D0} + CAST(l_orderkey % {STOCK_DAYS} - lag_days + l_linenumber % 2 AS INT) AS Modified_date,
   l_quantity + lag_days AS ConsensusDemandPlan,
   CAST(l_linenumber AS DOUBLE) AS SalesActualCustomerOrders,
-  CASE WHEN l_linenumber = 7 THEN NULL ELSE 2.0D END AS DependentDemand,
-  l_orderkey * 10000 + l_linenumber * 1000 + lag_days AS plan_row_id
+  CASE WHEN l_linenumber = 7 THEN NULL ELSE 2.0D END AS DependentDemand
 FROM {{lineitem}} LATERAL VIEW explode(array({LAGS})) snapshots AS lag_days"""
 
 ORDER_TRACKING_SQL = f"""
-SELECT CONCAT('0000000000', CAST({MATERIAL_BASE} + l_partkey AS STRING)) AS MaterialNumber,
+SELECT CONCAT('0000000000', CAST({MATERIAL_BASE} + l_partkey + {UNKNOWN} AS STRING)) AS MaterialNumber,
   {D0} + CAST((l_orderkey + l_linenumber % 3) % {STOCK_DAYS}
     - CASE WHEN l_linenumber = 5 THEN 28 ELSE 0 END AS INT) AS GoodsIssueDate,
   CASE WHEN l_linenumber = 6 THEN 0.0D ELSE l_quantity END AS ActualQuantityDeliveredInSalesUnits,
@@ -120,30 +122,10 @@ def order_tracking(lineitem: DataFrame) -> DataFrame:
     return _derive(ORDER_TRACKING_SQL, ORDER_TRACKING, lineitem=lineitem)
 
 
-def spread_narrow_scan(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan that has fewer input partitions than the session has cores.
-
-    The driver's parquet files are one row group each, so their scan is a
-    single task and everything fused into that stage (derivation, the 3x
-    explode, map-side aggregation) would run on one core. A lake table has
-    many row groups per file and many files, so this never fires there and adds
-    no shuffle at scale. Hash partitioning on ``key`` is deterministic on
-    retry without the local sort a round-robin repartition needs.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
-        return df
-    if not narrow:
-        return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
-
-
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The five tables for one scale-factor folder of driver parquet."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    lineitem = spread_narrow_scan(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return tables_from(part, lineitem)
 
 

@@ -41,16 +41,11 @@ def read_current_partition(spark: SparkSession, root: str, fmt: str = "parquet",
                            partition: dict[str, int] | None = None) -> DataFrame:
     """Rows of the current partition (``Year=9999/Month=12/Day=31``) of ``root``.
 
-    Reads the partitioned root and filters the partition columns, which Spark
-    turns into partition pruning (``PartitionFilters`` in the plan), so only
-    that directory is listed and scanned.
+    Loads that partition's own path; ``basePath`` keeps the partition columns.
+    No other directory is listed or scanned.
     """
-    df = spark.read.format(fmt).load(root)
-    cond = None
-    for k, v in (partition or CURRENT_PARTITION).items():
-        c = F.col(k) == F.lit(v)
-        cond = c if cond is None else cond & c
-    df = df.filter(cond)
+    path = "/".join([root.rstrip("/"), *(f"{k}={v}" for k, v in (partition or CURRENT_PARTITION).items())])
+    df = spark.read.format(fmt).option("basePath", root).load(path)
     return conform(df, schema) if schema is not None else df
 
 
@@ -72,11 +67,12 @@ def register_views(tables: Tables, suffix: str = "") -> None:
 
 
 def write_report(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                 fmt: str = "parquet") -> None:
+                 fmt: str = "parquet", replace_all: bool = False) -> None:
     """Write a report; with ``partition_by`` only the partitions present in
     ``df`` are replaced (dynamic overwrite), so a rerun for one as-of date
-    rewrites that date alone and a lost task simply retries its files."""
+    rewrites that date alone and a lost task simply retries its files.
+    ``replace_all`` drops the partitions that ``df`` does not have."""
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "static" if replace_all else "dynamic").partitionBy(*partition_by)
     writer.save(path)

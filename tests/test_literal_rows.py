@@ -114,17 +114,17 @@ M1, M7 = "11000001", "11000007"
 PLAN = [
     # (d0, loc 1, M1): two snapshots; the newer one wins.
     {"DATE": day(0), "LocationID": 1, "MaterialID": M1, "SnapshotDate": day(2), "Modified_date": day(2),
-     "ConsensusDemandPlan": 100.0, "SalesActualCustomerOrders": 1.0, "DependentDemand": 2.0, "plan_row_id": 1},
+     "ConsensusDemandPlan": 100.0, "SalesActualCustomerOrders": 1.0, "DependentDemand": 2.0},
     {"DATE": day(0), "LocationID": 1, "MaterialID": M1, "SnapshotDate": day(1), "Modified_date": day(1),
-     "ConsensusDemandPlan": 5.0, "SalesActualCustomerOrders": 1.0, "DependentDemand": 2.0, "plan_row_id": 2},
+     "ConsensusDemandPlan": 5.0, "SalesActualCustomerOrders": 1.0, "DependentDemand": 2.0},
     # Same snapshot, later modification wins.
     {"DATE": day(0), "LocationID": 2, "MaterialID": M1, "SnapshotDate": day(1), "Modified_date": day(1),
-     "ConsensusDemandPlan": 9.0, "SalesActualCustomerOrders": 0.0, "DependentDemand": 0.0, "plan_row_id": 3},
+     "ConsensusDemandPlan": 9.0, "SalesActualCustomerOrders": 0.0, "DependentDemand": 0.0},
     {"DATE": day(0), "LocationID": 2, "MaterialID": M1, "SnapshotDate": day(1), "Modified_date": day(0),
-     "ConsensusDemandPlan": 3.0, "SalesActualCustomerOrders": 0.0, "DependentDemand": 0.0, "plan_row_id": 4},
+     "ConsensusDemandPlan": 3.0, "SalesActualCustomerOrders": 0.0, "DependentDemand": 0.0},
     # NULL dependent demand -> NULL demand quantity.
     {"DATE": day(0), "LocationID": 1, "MaterialID": "M2", "SnapshotDate": day(1), "Modified_date": day(1),
-     "ConsensusDemandPlan": 4.0, "SalesActualCustomerOrders": 1.0, "DependentDemand": None, "plan_row_id": 5},
+     "ConsensusDemandPlan": 4.0, "SalesActualCustomerOrders": 1.0, "DependentDemand": None},
 ]
 ORDERS = [
     {"MaterialNumber": "0000000000" + M1, "GoodsIssueDate": day(0),
@@ -187,9 +187,9 @@ def test_bias_90d_as_written(d):
 
 def test_on_hand_metrics_class_form(spark):
     t = tables(spark, master=MASTER, stock=STOCK,
-               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": 1},
-                     {"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": 2},
-                     {"DATE": day(0), "LocationID": 3, "MaterialID": "M5", "plan_row_id": 3}])
+               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1"},
+                     {"DATE": day(0), "LocationID": 1, "MaterialID": "M1"},
+                     {"DATE": day(0), "LocationID": 3, "MaterialID": "M5"}])
     rows = onhand.on_hand_metrics(t, AS_OF).collect()
     m1 = [r for r in rows if r["material_id"] == "M1"]
     assert len(m1) == 4   # each batch row of the key once, whatever the plan snapshots
@@ -205,7 +205,7 @@ def test_on_hand_metrics_class_form(spark):
 
 def test_plan_driven_daily_rows(spark):
     t = tables(spark, master=MASTER, stock=STOCK,
-               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": i}
+               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1"}
                      for i in range(3)] + [{"DATE": day(0), "LocationID": 5, "MaterialID": "M2"}])
     rows = holding.plan_stock_rows(t, AS_OF).collect()
     m1 = [r for r in rows if r["MaterialID"] == "M1"]
@@ -229,9 +229,9 @@ def test_reference_column_names(t):
 
 def test_plan_driven_report(spark):
     t = tables(spark, master=MASTER, stock=STOCK,
-               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": 1},
-                     {"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "plan_row_id": 2},
-                     {"DATE": day(0), "LocationID": 2, "MaterialID": "M1", "plan_row_id": 3}])
+               plan=[{"DATE": day(0), "LocationID": 1, "MaterialID": "M1"},
+                     {"DATE": day(0), "LocationID": 1, "MaterialID": "M1"},
+                     {"DATE": day(0), "LocationID": 2, "MaterialID": "M1"}])
     got = by_key(holding.holding_report(t, AS_OF, driver="plan"), "material_id", "location_id")
     assert set(got) == {("M1", 1), ("M1", 2)}       # planned keys only, once each
     assert got[("M1", 1)]["clear_dollars"] == 250.0
@@ -266,7 +266,7 @@ def test_wide_report_aligned_rows(spark):
          stock_row("M2", 1, 0, clear=10.0)]
     plan = [{"DATE": day(0), "LocationID": 1, "MaterialID": "M1", "SnapshotDate": day(1),
              "Modified_date": day(1), "ConsensusDemandPlan": 5.0, "SalesActualCustomerOrders": 0.0,
-             "DependentDemand": 0.0, "plan_row_id": 1}]
+             "DependentDemand": 0.0}]
     orders = [{"MaterialNumber": "M1", "GoodsIssueDate": day(0),
                "ActualQuantityDeliveredInSalesUnits": 4.0, "ConfirmedQuantity": 4.0}]
     t = tables(spark, master=MASTER, stock=s, plan=plan, orders=orders,

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from holdcast.plans import catalog, oracle
 from compare import compare, duck
 from conftest import SF_ORACLE, SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

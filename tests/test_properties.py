@@ -86,7 +86,7 @@ order_rows = st.lists(st.tuples(st.sampled_from([0, 1, 40]), st.sampled_from(["1
 def test_bias_28d_matches_line_level_definition(spark, plans, orders):
     p = [{"DATE": day(d), "LocationID": loc, "MaterialID": mat, "SnapshotDate": day(d + snap),
           "Modified_date": day(d + mod), "ConsensusDemandPlan": cdp, "SalesActualCustomerOrders": 1.0,
-          "DependentDemand": dd, "plan_row_id": i}
+          "DependentDemand": dd}
          for i, (d, loc, mat, snap, mod, cdp, dd) in enumerate(plans)]
     o = [{"MaterialNumber": "0000000000" + mat, "GoodsIssueDate": day(d),
           "ActualQuantityDeliveredInSalesUnits": a, "ConfirmedQuantity": a} for d, mat, a in orders]
@@ -96,7 +96,7 @@ def test_bias_28d_matches_line_level_definition(spark, plans, orders):
     latest = {}
     for r in p:
         k = (r["DATE"], r["LocationID"], r["MaterialID"])
-        order = (r["SnapshotDate"], r["Modified_date"], r["plan_row_id"])
+        order = (r["SnapshotDate"], r["Modified_date"])
         if k not in latest or order > latest[k][0]:
             latest[k] = (order, r)
     groups = defaultdict(lambda: [[], []])

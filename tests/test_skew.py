@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from compare import compare, duck
 from conftest import SF_ORACLE
 from holdcast.plans import catalog
-from holdcast.sources.fixtures import spread_narrow_scan, tables_from
+from holdcast.sources.fixtures import tables_from
 
 HOT = "l_orderkey % 3 = 0"
 SKEW_CONF = {
@@ -33,7 +33,7 @@ def skewed(spark):
     li = spark.read.parquet(f"{SF_ORACLE}/lineitem.parquet")
     li = li.withColumns({"l_partkey": F.when(F.expr(HOT), F.lit(1)).otherwise(F.col("l_partkey")),
                          "l_suppkey": F.when(F.expr(HOT), F.lit(0)).otherwise(F.col("l_suppkey"))})
-    yield tables_from(part, spread_narrow_scan(li))
+    yield tables_from(part, li)
     for k, v in old.items():
         if v is None:
             spark.conf.unset(k)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from holdcast.plans import catalog
 from conftest import SF_SMALL
 from holdcast.operators import holding, totals
 from holdcast.schemas import BATCH_INVENTORY, DEMAND_PLAN, MATERIAL_HIERARCHY, Tables
@@ -27,9 +27,9 @@ def _final(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_evaluation(spark, name):
-    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = catalog.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(n in plan for n in PYTHON_NODES), name
 
 

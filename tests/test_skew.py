@@ -9,10 +9,9 @@ thresholds are lowered so that its skew-join splitting actually runs.
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from compare import compare, duck
 from conftest import SF_ORACLE
-from holdcast.plans import catalog
+from holdcast.plans import catalog, oracle
 from holdcast.sources.fixtures import tables_from
 
 HOT = "l_orderkey % 3 = 0"
@@ -58,9 +57,9 @@ def test_hot_key_holds_a_third(skewed):
     assert hot >= 0.3 * n
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_matches_oracle_under_skew(skewed, con, name):
-    ok, msg = compare(catalog.run_on(name, skewed), con, entry.oracle_sql()[name])
+    ok, msg = compare(catalog.run_on(name, skewed), con, oracle.oracle_sql()[name])
     assert ok, f"{name}: {msg}"
 
 

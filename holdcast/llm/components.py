@@ -2,9 +2,10 @@
 
 Alternates two steps over an edge table until it stops changing (large-star and
 small-star, Kiveris et al., "Connected Components in MapReduce and Beyond").
-Every step is a pre-aggregated minimum per node and a join that Spark may split
-at a hot node; each round is cut from its lineage by a table in the shared
-checkpoint folder. The driver sees two numbers per round.
+Every step is a pre-aggregated minimum per node and a join with it. Minima are
+written to the shared checkpoint folder first, so both sides of a join are dealt
+for that join alone and Spark may split a hot node, such as the root of a large
+component. The driver sees two numbers per round.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
     while before != (state := _state(now)):
         before = state
         both = now.unionByName(now.select(F.col("near").alias("node"), F.col("node").alias("near")))
-        least = both.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("low"))
-        large = both.join(least, "node").filter("near > node").select(
-            F.col("near").alias("node"), F.col("low").alias("near"))
-        lows = large.groupBy("node").agg(F.min("near").alias("low"))
+        least = stash(both.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("low")), "least")
+        large = stash(both.filter("near > node").join(least, "node").select(
+            F.col("near").alias("node"), F.col("low").alias("near")), "large")
+        lows = stash(large.groupBy("node").agg(F.min("near").alias("low")), "lows")
         small = large.join(lows, "node").filter("near <> low").select(
             F.col("near").alias("node"), F.col("low").alias("near"))
         now = stash(small.unionByName(lows.withColumnRenamed("low", "near")).distinct(), "edges")

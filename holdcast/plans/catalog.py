@@ -105,8 +105,10 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "doh_ratio": lambda t: report.doh_ratio(t, AS_OF),
     "holding_report": lambda t: holding.holding_report(t, AS_OF),
     "holding_report_plan_driven": lambda t: holding.holding_report(t, AS_OF, driver="plan"),
+    "holding_report_reference_names": lambda t: holding.with_reference_names(holding.holding_report(t, AS_OF)),
     # shares
     "weekly_share": totals.weekly_share,
+    "weekly_share_iso": lambda t: totals.weekly_share(t, iso=True),
     "daily_share": totals.daily_share,
     # demand and bias
     "demand_quantity": lambda t: demand.demand_quantity(t.demand_plan),

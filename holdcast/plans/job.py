@@ -7,9 +7,9 @@ retried job after lost executors) replaces exactly that date and nothing is
 collected to the driver.
 
     python -m holdcast.plans.job --as-of 2025-01-12 --out /lake/reports \\
-        --master /lake/md/materialmaster --master-format delta \\
-        --hierarchy /lake/md/materialhierarchy --stock /lake/wh/batch_inventory_actual \\
-        --plan-archive /lake/sp/apo_snp_35d/archive --orders /lake/cs/OrderTrackingReport \\
+        --master /lake/materials --master-format delta \\
+        --hierarchy /lake/material-hierarchy --stock /lake/batch-stock \\
+        --plan-archive /lake/plan-archive --orders /lake/order-lines \\
         --orders-format delta
 """
 
@@ -18,14 +18,14 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdcast.functions.dates import DateLike, as_date
-from holdcast.operators import demand, holding, report, totals
+from holdcast.operators import demand, holding, onhand, report, totals
 from holdcast.schemas import (BATCH_INVENTORY, DEMAND_PLAN, MATERIAL_HIERARCHY, MATERIAL_MASTER,
                               ORDER_TRACKING, Tables)
 from holdcast.plans.stage import materialize
@@ -57,9 +57,11 @@ def load_lake(spark: SparkSession, p: LakePaths) -> Tables:
 
 
 # Report name -> builder(tables, as_of, day_sums). Reports over all stock
-# history take the shared day sums; the as-of reports read only their dates.
+# history (up to the as-of date) take the shared day sums; the as-of reports read only their dates.
 REPORTS: dict[str, Callable[[Tables, DateLike, DataFrame | None], DataFrame]] = {
     "holding_report": lambda t, d, s: holding.holding_report(t, d),
+    "daily_table": lambda t, d, s: holding.daily_measures(t, d),
+    "on_hand_metrics": lambda t, d, s: onhand.on_hand_metrics(t, d),
     "daily_share": lambda t, d, s: totals.daily_share(t, day_sums=s),
     "weekly_share": lambda t, d, s: totals.weekly_share(t, iso=True, day_sums=s),
     "wide_report": lambda t, d, s: report.wide_report_aligned(t, d, day_sums=s),
@@ -68,17 +70,27 @@ REPORTS: dict[str, Callable[[Tables, DateLike, DataFrame | None], DataFrame]] =
     "bias_90d": lambda t, d, s: demand.bias_90d_aligned(t, d),
 }
 NEEDS_DAY_SUMS = {"daily_share", "weekly_share", "wide_report"}
+# Reports over all history: they see no stock snapshot after the as-of date, so an old date can be rerun.
+OVER_HISTORY = NEEDS_DAY_SUMS | {"on_hand_metrics"}
+
+
+def until(tables: Tables, as_of: DateLike) -> Tables:
+    """``tables`` without stock snapshots taken after the as-of date."""
+    end = dt.datetime.combine(as_date(as_of) + dt.timedelta(days=1), dt.time())
+    return replace(tables, batch_inventory=tables.batch_inventory.filter(F.col("SnapshotDate") < F.lit(end)))
 
 
 def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: DateLike,
-                     refresh_days: int | None = None) -> DataFrame:
+                     refresh_days: int | None = None, changed_since: dt.datetime | None = None) -> DataFrame:
     """Keep ``path`` (stock day sums, partitioned by ``day``) current; return all of it.
 
     With ``refresh_days`` only batch rows whose snapshot falls in
     ``[as_of - refresh_days, as_of + 1)`` are read (a plain timestamp range the
     reader can push down or prune on) and only those days' partitions are
     replaced, so a daily run costs the recent days, not the whole history.
-    Without it, or when ``path`` holds nothing yet, every day is recomputed.
+    ``changed_since`` (UTC) adds the days of every stock file written after that time,
+    however old the days are, so late rows and corrections are seen as well.
+    Without ``refresh_days``, or when ``path`` holds nothing yet, every day is recomputed.
     A day of the window, or of a full refresh any day, that no longer has a
     batch row loses its partition.
     """
@@ -91,7 +103,10 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
     if refresh_days is not None and exists:
         start = dt.datetime.combine(as_date(as_of) - dt.timedelta(days=refresh_days), dt.time())
         end = dt.datetime.combine(as_date(as_of) + dt.timedelta(days=1), dt.time())
-        rows = rows.filter((F.col("SnapshotDate") >= F.lit(start)) & (F.col("SnapshotDate") < F.lit(end)))
+        wanted = (F.col("SnapshotDate") >= F.lit(start)) & (F.col("SnapshotDate") < F.lit(end))
+        if changed_since is not None:
+            wanted = wanted | F.to_date("SnapshotDate").isin(_days_of_files(rows, changed_since))
+        rows = rows.filter(wanted)
     sums = totals.stock_day_sums(Tables(tables.material_master, tables.material_hierarchy, rows,
                                         tables.demand_plan, tables.order_tracking))
     partial = refresh_days is not None and exists
@@ -101,6 +116,13 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
     return spark.read.parquet(path)
 
 
+def _days_of_files(rows: DataFrame, since: dt.datetime) -> list[dt.date]:
+    """Snapshot days of the files written after ``since``: at most one value per calendar day."""
+    new = rows.filter(F.col("_metadata.file_modification_time") > F.lit(since.replace(tzinfo=dt.timezone.utc)))
+    return [r["day"] for r in new.select(F.to_date("SnapshotDate").alias("day")).distinct().collect()
+            if r["day"] is not None]
+
+
 def _drop_empty_days(spark: SparkSession, sums: DataFrame, path: str, as_of: DateLike, refresh_days: int) -> None:
     """Delete the window's partitions for which ``sums`` has no row (at most ``refresh_days`` + 1 of them)."""
     present = {r["day"] for r in sums.select("day").distinct().collect()}
@@ -127,10 +149,13 @@ def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root:
     if day_sums_path and NEEDS_DAY_SUMS.intersection(names):
         day_sums = refresh_day_sums(spark, tables, day_sums_path, as_of, refresh_days)
     elif len(NEEDS_DAY_SUMS.intersection(names)) > 1:
-        day_sums = materialize(totals.stock_day_sums(tables), "stock_day_sums")
+        day_sums = materialize(totals.stock_day_sums(until(tables, as_of)), "stock_day_sums")
+    if day_sums is not None:
+        day_sums = day_sums.filter(F.col("day") <= F.lit(as_date(as_of)))
     done = []
     for name in names:
-        df = REPORTS[name](tables, as_of, day_sums).withColumn("as_of", F.lit(as_date(as_of)))
+        seen = until(tables, as_of) if name in OVER_HISTORY else tables
+        df = REPORTS[name](seen, as_of, day_sums).withColumn("as_of", F.lit(as_date(as_of)))
         write_report(df, f"{out_root.rstrip('/')}/{name}", partition_by=["as_of"])
         done.append(name)
     return done

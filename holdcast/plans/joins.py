@@ -11,8 +11,11 @@
   input, not by its volume: 100 TB of stock over two years still has 731
   days and 105 weeks; even every DATE Spark can represent is under 4 M days.
 * Plan keys joined to batch rows: ``left_join_keys_to_rows`` rewrites the
-  left join as a semi join plus an anti join, so the batch side (which holds
-  the hot keys) is never the non-splittable side of an outer join.
+  left join as a semi join plus the keys without a row, so the batch side (which holds
+  the hot keys) is never the non-splittable side of an outer join. The plan is
+  read once. Batch rows are read once in full, and once more for their two key
+  columns alone: one pass over them would have to bring all rows of a key
+  together, or shuffle every row a second time.
 """
 
 from __future__ import annotations
@@ -69,11 +72,20 @@ def left_join_keys_to_rows(keys: DataFrame, rows: DataFrame, on: list[str]) -> D
 
     Equals the left join: rows whose key is in ``keys`` (semi join, the row
     side may be split by AQE when a key is hot), plus the keys that have no
-    row, with NULL row columns (anti join against the distinct row keys, which
-    are pre-aggregated before the shuffle).
+    row, with NULL row columns (those that find nothing among the distinct row
+    keys, which are pre-aggregated before the shuffle).
+
+    Keys are compared null-safely and rows with a NULL key left out, which is
+    what ``=`` means here, but lets the optimizer add no ``IS NOT NULL`` to one
+    use of ``keys`` only: both uses keep one plan and share its exchange.
     """
-    matched = rows.join(keys, on, "left_semi")
-    missing = keys.join(rows.select(*on).distinct(), on, "left_anti")
+    known = rows.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on))
+    wanted = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in on]
+    matched = known.join(wanted, same, "left_semi")
+    # A left join, as the optimizer would push an anti join below the distinct of one use of ``keys``.
+    found = known.select(*on).distinct().withColumn("_found", F.lit(True))
+    missing = wanted.join(found, same, "left").filter("_found IS NULL")
     nulls = [F.lit(None).cast(f.dataType).alias(f.name)
              for f in rows.schema.fields if f.name not in on]
-    return matched.unionByName(missing.select(*on, *nulls))
+    return matched.unionByName(missing.select(*[F.col(f"_key_{c}").alias(c) for c in on], *nulls))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdcast.functions.dates import DateLike, as_date
 from holdcast.schemas import Tables, conform
 
 # Sentinel partition of the "current" material hierarchy.
@@ -50,15 +51,36 @@ def read_current_partition(spark: SparkSession, root: str, fmt: str = "parquet",
 
 
 def read_snapshot_archive(spark: SparkSession, root: str, leaf: str, depth: int = 3,
-                          fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
-    """Union of all archived snapshots ``root/*/*/*/leaf`` in one scan."""
-    glob = "/".join([root.rstrip("/")] + ["*"] * depth + [leaf])
+                          fmt: str = "parquet", schema: T.StructType | None = None,
+                          days: list[DateLike] | None = None) -> DataFrame:
+    """Union of all archived snapshots ``root/*/*/*/leaf`` in one scan.
+
+    With ``days`` only the folders ``root/yyyy/MM/dd/leaf`` of those days are listed and
+    read; days without a folder are skipped, but one at least must have one.
+    """
+    if days is None:
+        middle = "/".join(["*"] * depth)
+    else:
+        middle = "{" + ",".join(f"{as_date(d):%Y/%m/%d}" for d in days) + "}"
+    glob = f"{root.rstrip('/')}/{middle}/{leaf}"
     df = spark.read.format(fmt).option("basePath", root).load(glob)
     return conform(df, schema) if schema is not None else df
 
 
+# The names under which SQL scripts read each table.
+VIEW_NAMES = {
+    "material_master": "materialmaster_temp",
+    "material_hierarchy": "mat_hierarachy_temp",
+    "batch_inventory": "batch_inventory_actual_temp",
+    "demand_plan": "apo_snp_35d_temp",
+    "order_tracking": "otr_var_temp_view",
+}
+
+
 def register_views(tables: Tables, suffix: str = "") -> None:
-    """Expose the five tables to ``spark.sql`` under their source names."""
+    """Expose the five tables to ``spark.sql`` under their source names and the scripts' names."""
+    for table, name in VIEW_NAMES.items():
+        getattr(tables, table).createOrReplaceTempView(f"{name}{suffix}")
     tables.material_master.createOrReplaceTempView(f"material_master{suffix}")
     tables.material_hierarchy.createOrReplaceTempView(f"material_hierarchy{suffix}")
     tables.batch_inventory.createOrReplaceTempView(f"batch_inventory_actual{suffix}")

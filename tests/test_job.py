@@ -1,6 +1,7 @@
 """The daily job end to end on lake-shaped folders (sf0.001 fixtures)."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ def _lake(spark, t, root):
      .write.partitionBy("Year", "Month", "Day").parquet(str(root / "hierarchy")))
     t.batch_inventory.write.parquet(str(root / "stock"))
     snaps = t.demand_plan.withColumn("d", F.date_format("SnapshotDate", "yyyy/MM/dd"))
-    for d in [r["d"] for r in snaps.select("d").distinct().collect()][:5]:
+    for d in [r["d"] for r in snaps.select("d").distinct().collect()]:
         (snaps.filter(F.col("d") == d).drop("d")
          .write.parquet(str(root / "plan" / "archive" / d / "apo_snp_35d")))
     t.order_tracking.write.parquet(str(root / "orders"))
@@ -106,3 +107,44 @@ def test_materialize_writes_under_the_checkpoint_folder(spark, tables_small):
     root = urlparse(checkpoint_dir(spark)).path
     assert m.inputFiles() and all(urlparse(f).path.startswith(root) for f in m.inputFiles())
     assert m.exceptAll(df).count() == 0 and df.exceptAll(m).count() == 0
+
+
+def test_a_late_row_of_an_old_day_is_refreshed(spark, tables_small, tmp_path):
+    from holdcast.operators import totals
+    from holdcast.schemas import Tables
+    t, stock, path = tables_small, str(tmp_path / "stock"), str(tmp_path / "sums")
+    t.batch_inventory.write.parquet(stock)
+
+    def tables():
+        return Tables(t.material_master, t.material_hierarchy, spark.read.parquet(stock), t.demand_plan, t.order_tracking)
+
+    job.refresh_day_sums(spark, tables(), path, AS_OF)
+    old = t.batch_inventory.filter(F.col("AvailableDate") == F.lit(AS_OF - dt.timedelta(days=20)))
+    time.sleep(1.1)
+    seen = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    old.write.mode("append").parquet(stock)
+    got = job.refresh_day_sums(spark, tables(), path, AS_OF, refresh_days=1, changed_since=seen)
+    want = totals.stock_day_sums(tables()).select(got.columns)
+    assert old.count() and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_day_that_lost_its_rows_loses_its_partition(spark, tables_small, tmp_path):
+    from holdcast.operators import totals
+    from holdcast.schemas import Tables
+    t = tables_small
+    for name, back, refresh_days in (("partial", 1, 2), ("full", 10, None)):
+        path, gone = str(tmp_path / name), AS_OF - dt.timedelta(days=back)
+        job.refresh_day_sums(spark, t, path, AS_OF)
+        less = Tables(t.material_master, t.material_hierarchy, t.batch_inventory.filter(
+            F.to_date("SnapshotDate") != F.lit(gone)), t.demand_plan, t.order_tracking)
+        got = job.refresh_day_sums(spark, less, path, AS_OF, refresh_days)
+        want = totals.stock_day_sums(less).select(got.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_reports_of_an_old_date_see_nothing_later(spark, tables_small, tmp_path):
+    out, day = str(tmp_path / "out"), AS_OF - dt.timedelta(days=20)
+    job.run_reports(spark, tables_small, day, out, ["daily_share", "weekly_share", "wide_report", "on_hand_metrics"])
+    for name, column in (("daily_share", "day"), ("wide_report", "day"), ("on_hand_metrics", "snapshot_date")):
+        latest = spark.read.parquet(f"{out}/{name}").agg(F.max(F.to_date(column))).first()[0]
+        assert latest == day, name

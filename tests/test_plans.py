@@ -147,3 +147,34 @@ def test_read_table_passes_reader_options(spark, tables_small, tmp_path):
     assert df.schema == MATERIAL_MASTER or [f.dataType for f in df.schema] == [
         f.dataType for f in MATERIAL_MASTER]
     assert df.count() == tables_small.material_master.count()
+
+
+def test_snapshot_archive_of_some_days(spark, tables_small, tmp_path):
+    days = [dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(2025, 1, 3)]
+    parts = tables_small.demand_plan.randomSplit([1.0, 1.0, 1.0], seed=1)
+    for d, part in zip(days, parts):
+        part.write.parquet(str(tmp_path / f"{d:%Y/%m/%d}" / "apo_snp_35d"))
+    p = src.read_snapshot_archive(spark, str(tmp_path), "apo_snp_35d", schema=DEMAND_PLAN,
+                                  days=[*days[1:], dt.date(2025, 1, 9)])
+    assert p.count() == parts[1].count() + parts[2].count()
+    assert {f.split("2025/01/")[1][:2] for f in p.inputFiles()} == {"02", "03"}
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_planned_keys_read_the_plan_once(spark, tables_small, broadcast):
+    from holdcast.operators import onhand
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        plan = _final(onhand.on_hand_join(tables_small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scans = [line for line in plan.splitlines() if "lineitem.parquet" in line and "ReadSchema" in line]
+    assert len(scans) == 3 and "ReusedExchange" in plan   # plan, stock, and the stock's key columns alone
+    assert min(s.split("ReadSchema: ")[1].count(":") for s in scans) == 2
+
+
+def test_views_have_the_script_names(spark, tables_small):
+    src.register_views(tables_small)
+    for name in src.VIEW_NAMES.values():
+        assert spark.table(name).columns

@@ -116,6 +116,43 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
     return spark.read.parquet(path)
 
 
+def keep_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: DateLike,
+                  refresh_days: int | None = None, changed_since: dt.datetime | None = None) -> DataFrame:
+    """``refresh_day_sums`` that remembers, beside ``path``, how new the stock files it has read are.
+
+    A partial refresh takes the days of all files at least as new as the newest one of the last
+    run. Where that is not known (no earlier run, or stock that is not read from files), or is lost
+    since a run ended while it was written, every day is recomputed.
+    """
+    seen = f"{path.rstrip('/')}.seen"
+    newest = _newest_file(tables.batch_inventory)        # before the rows are read
+    last = _last_seen(spark, seen) if newest is not None else None
+    if last is None:
+        refresh_days = None
+    else:
+        changed_since = min(last - dt.timedelta(milliseconds=1), changed_since or last)
+    sums = refresh_day_sums(spark, tables, path, as_of, refresh_days, changed_since)
+    if newest is not None:
+        spark.createDataFrame([(newest,)], "micros bigint").coalesce(1).write.mode("overwrite").parquet(seen)
+    return sums
+
+
+def _newest_file(rows: DataFrame) -> int | None:
+    """Modification time of the newest file of ``rows``, in microseconds; None where rows have no files."""
+    try:
+        return rows.agg(F.max(F.unix_micros("_metadata.file_modification_time"))).first()[0]
+    except AnalysisException:
+        return None
+
+
+def _last_seen(spark: SparkSession, path: str) -> dt.datetime | None:
+    try:
+        row = spark.read.schema("micros bigint").parquet(path).first()
+    except AnalysisException:      # no run has ended yet
+        return None
+    return None if row is None else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=row["micros"])
+
+
 def _days_of_files(rows: DataFrame, since: dt.datetime) -> list[dt.date]:
     """Snapshot days of the files written after ``since``: at most one value per calendar day."""
     new = rows.filter(F.col("_metadata.file_modification_time") > F.lit(since.replace(tzinfo=dt.timezone.utc)))
@@ -135,19 +172,20 @@ def _drop_empty_days(spark: SparkSession, sums: DataFrame, path: str, as_of: Dat
 
 def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root: str,
                 names: list[str] | None = None, day_sums_path: str | None = None,
-                refresh_days: int | None = None) -> list[str]:
+                refresh_days: int | None = None, changed_since: dt.datetime | None = None) -> list[str]:
     """Write each report to ``out_root/<name>/as_of=<date>``; returns the names.
 
     Full-history reports read stock day sums instead of every batch row: kept
     current at ``day_sums_path`` (see ``refresh_day_sums``), or, without a path
     and when more than one such report is asked for, computed once and written
-    to the shared checkpoint folder.
+    to the shared checkpoint folder. A partial refresh also takes the days of every stock
+    file written since the last run (``keep_day_sums``), or since ``changed_since`` (UTC) if that is earlier.
     """
     configure(spark)
     names = names or list(REPORTS)
     day_sums = None
     if day_sums_path and NEEDS_DAY_SUMS.intersection(names):
-        day_sums = refresh_day_sums(spark, tables, day_sums_path, as_of, refresh_days)
+        day_sums = keep_day_sums(spark, tables, day_sums_path, as_of, refresh_days, changed_since)
     elif len(NEEDS_DAY_SUMS.intersection(names)) > 1:
         day_sums = materialize(totals.stock_day_sums(until(tables, as_of)), "stock_day_sums")
     if day_sums is not None:
@@ -161,6 +199,11 @@ def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root:
     return done
 
 
+def _utc(text: str) -> dt.datetime:
+    time = dt.datetime.fromisoformat(text)
+    return time.astimezone(dt.timezone.utc).replace(tzinfo=None) if time.tzinfo else time
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--as-of", required=True)
@@ -176,13 +219,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--day-sums-path", default=None,
                     help="persistent stock day sums, partitioned by day")
     ap.add_argument("--refresh-days", type=int, default=None,
-                    help="recompute only this many trailing days of day sums")
+                    help="recompute only this many trailing days of day sums, and the days of files new since the last run")
+    ap.add_argument("--changed-since", type=_utc, default=None,
+                    help="also the days of stock files written since this time (ISO, UTC unless it has an offset)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("holdcast-daily").getOrCreate()
     paths = LakePaths(a.master, a.hierarchy, a.stock, a.plan_archive, a.orders,
                       a.master_format, a.orders_format)
     run_reports(spark, load_lake(spark, paths), a.as_of, a.out, a.reports.split(","),
-                a.day_sums_path, a.refresh_days)
+                a.day_sums_path, a.refresh_days, a.changed_since)
 
 
 if __name__ == "__main__":

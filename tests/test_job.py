@@ -128,6 +128,27 @@ def test_a_late_row_of_an_old_day_is_refreshed(spark, tables_small, tmp_path):
     assert old.count() and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_a_late_row_reaches_the_reports_of_the_next_daily_run(spark, tables_small, tmp_path):
+    from dataclasses import replace
+    t, stock, path = tables_small, str(tmp_path / "stock"), str(tmp_path / "sums")
+    names, late = ["daily_share", "weekly_share", "wide_report"], F.to_date("SnapshotDate") == F.lit(AS_OF - dt.timedelta(days=20))
+    t.batch_inventory.filter(~late).write.parquet(stock)
+
+    def run(out, **how):
+        job.run_reports(spark, replace(t, batch_inventory=spark.read.parquet(stock)), AS_OF, str(tmp_path / out), names, **how)
+
+    run("daily", day_sums_path=path, refresh_days=3)
+    time.sleep(1.1)
+    assert t.batch_inventory.filter(late).count()
+    t.batch_inventory.filter(late).write.mode("append").parquet(stock)
+    run("daily", day_sums_path=path, refresh_days=3)
+    run("fresh")
+    for n in names:
+        a, b = (spark.read.parquet(str(tmp_path / out / n)) for out in ("daily", "fresh"))
+        ra, rb = (x.select([F.round(c, 6).alias(c) if d == "double" else F.col(c) for c, d in a.dtypes]) for x in (a, b))
+        assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0, n
+
+
 def test_a_day_that_lost_its_rows_loses_its_partition(spark, tables_small, tmp_path):
     from holdcast.operators import totals
     from holdcast.schemas import Tables

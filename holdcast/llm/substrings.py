@@ -17,8 +17,10 @@ that covers it also starts in a document with a smaller doc_id.
 
 Exact copies never reach step 2: of equal texts only the least doc_id does,
 since the others repeat it from end to end. The number of slices follows the
-corpus, so what a slice holds does not; hot passages cost one entry per
-occurrence, and no pairs are made.
+corpus. Slices of more than HOT entries, where passages are hot, are counted
+first: each flush gives a slice one entry for a hash, whatever its occurrences,
+and the hashes that count then meet the packed rows again, dealt in pieces of HOT
+entries over the tasks. No pairs are made.
 
 Defined cases: NULL text has no words; a document whose doc_id is NULL has no
 order, so it neither loses words nor makes others lose them; rows that repeat
@@ -30,10 +32,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdcast.llm.common import (Rolling, flat_text, mix64, prepare, ranges, slices, spaced, stash, text_bytes)
@@ -44,6 +48,7 @@ FLUSH_WORDS = 1 << 21        # words whose hashes are sorted and packed at a tim
 SLICE_WORDS = 1 << 21        # words of the corpus that a slice answers for, about
 DOCS = 1 << 16               # documents in one packed array, at most
 BUCKET_DOCS = 1 << 12        # documents whose answers travel together, about
+HOT = 2 * SLICE_WORDS        # entries beyond which a slice is decided from reduced rows and answered in pieces
 
 # Odd multipliers of the word hashes and of the sequences of words.
 _WORD = Rolling(0x9E3779B97F4A7C15), Rolling(0xD6E8FEB86659FD93)
@@ -222,7 +227,121 @@ def _per_text(answers: DataFrame, kind, name: str) -> DataFrame:
         run, f"doc_id bigint, content bigint, {name} binary")
 
 
-def hits(found: DataFrame, bits: int, buckets: int) -> DataFrame:
+def _hot_slices(found: DataFrame, entries: Column, most: int) -> DataFrame | None:
+    """(slice, pieces) of the slices of more than ``most`` entries; None if there are none."""
+    hot = stash(found.groupBy("slice").agg(F.sum(entries).alias("n")).filter(F.col("n") > most).select(
+        "slice", F.ceil(F.col("n") / most).cast("int").alias("pieces")), "substring-hot")
+    return None if hot.isEmpty() else hot
+
+
+def _least(first: np.ndarray, second: np.ndarray, least: np.ndarray, greatest: np.ndarray,
+           block: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One entry of every (first, second): its least and greatest doc_id, and whether any entry is a block."""
+    order = np.lexsort((second, first))
+    first, second, least, greatest, block = (x[order] for x in (first, second, least, greatest, block))
+    if not len(first):
+        return first, second, least, greatest, block
+    heads = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
+    return (first[heads], second[heads], np.minimum.reduceat(least, heads), np.maximum.reduceat(greatest, heads),
+            np.maximum.reduceat(block, heads))
+
+
+_KINDS = np.uint64, np.uint64, np.int64, np.int64, np.uint8
+REDUCED = "slice int, first binary, second binary, least binary, greatest binary, block binary"
+KNOWN = "slice int, known_first binary, known_second binary, known_least binary"
+
+
+def _known(rows: Iterator[tuple]) -> tuple[np.ndarray, ...]:
+    """One entry of every key of a slice; holds twice as many entries as it has keys, or HOT."""
+    state = tuple(np.zeros(0, k) for k in _KINDS)
+    held, n = [], 0
+    for row in rows:
+        held.append(tuple(np.frombuffer(x, k) for x, k in zip(row, _KINDS)))
+        n += len(held[-1][0])
+        if n > max(HOT, len(state[0])):
+            state = _least(*(np.concatenate(x) for x in zip(state, *held)))
+            held, n = [], 0
+    return _least(*(np.concatenate(x) for x in zip(state, *held)))
+
+
+def _row_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
+
+
+def _hot_answers(found: DataFrame, hot: DataFrame, columns: str, entries, answer, buckets: int) -> DataFrame:
+    """Answers of the slices of ``hot``, however many entries one key has.
+
+    Every packed row is first reduced to one entry of a key, so a key costs a slice one entry for each
+    flush. The keys of two documents that have a block then meet the packed rows again, which are dealt over the slice's
+    pieces. ``entries`` gives (first, second, doc, block, text, value) of a packed row; ``answer`` says which of those
+    that have a known key are answered, by doc and the key's least doc.
+    """
+    names = [c.split()[0] for c in columns.split(", ")]
+    rows = found.join(F.broadcast(hot), "slice")
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _row_by_row(batches):
+            first, second, doc, block, _, _ = entries(row)
+            got = _least(first, second, doc, doc, block.astype(np.uint8))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[0]], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in got)],
+                names=[c.split()[0] for c in REDUCED.split(", ")])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, slice_rows in groupby(_row_by_row(batches), itemgetter(0)):
+            first, second, least, greatest, block = _known(r[1:] for r in slice_rows)
+            keep = (least < greatest) & (block > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), *(pa.array([x[keep].tobytes()], pa.binary()) for x in (first, second, least))],
+                names=[c.split()[0] for c in KNOWN.split(", ")])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, piece_rows in groupby(_row_by_row(batches), itemgetter(0, 1)):
+            first, second, least = (np.frombuffer(x, k) for x, k in zip(next(piece_rows)[3:6], _KINDS))
+            heads = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(first) else np.zeros(0, np.int64)
+            longest = int(np.diff(np.r_[heads, len(first)]).max(initial=0))     # 1 unless the first hashes of two keys are equal
+            held, n = [], 0
+            for row in piece_rows:
+                f, s, doc, _, text, value = entries((row[0], *row[6:]))
+                at, has, low = np.searchsorted(first, f), np.zeros(len(f), bool), np.zeros(len(f), np.int64)
+                for k in range(longest):
+                    place = np.minimum(at + k, len(first) - 1)
+                    same = (at + k < len(first)) & (first[place] == f) & (second[place] == s)
+                    has |= same
+                    low[same] = least[place[same]]
+                has &= answer(doc, low)
+                held.append((doc[has], text[has], value[has]))
+                n += int(has.sum())
+                if n >= FLUSH_WORDS:
+                    yield from _answers(*(np.concatenate(x) for x in zip(*held)), buckets)
+                    held, n = [], 0
+            if n:
+                yield from _answers(*(np.concatenate(x) for x in zip(*held)), buckets)
+
+    by_slice = lambda df: df.repartition("slice").sortWithinPartitions("slice")
+    known = by_slice(rows.select(*names).mapInArrow(reduce, REDUCED)).mapInArrow(decide, KNOWN)
+    lead = ["slice", "piece", "again", "known_first", "known_second", "known_least"]
+    none = F.lit(None).cast("binary")
+    known = known.join(F.broadcast(hot), "slice").withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("again", F.lit(0)).select(
+        *lead, *[none.alias(c) for c in names[1:]])
+    dealt = rows.select("slice", F.pmod(F.xxhash64("ids", names[-1]), F.col("pieces")).cast("int").alias("piece"),
+                        F.lit(1).alias("again"), *[none.alias(c) for c in lead[3:]], *names[1:])
+    return (known.unionByName(dealt).repartition("slice", "piece").sortWithinPartitions("slice", "piece", "again")
+            .mapInArrow(meet, ANSWERS))
+
+
+def _split(found: DataFrame, entries: Column, most: int, columns: str, plain, unpacked, answer, buckets: int) -> DataFrame:
+    """Answers of all slices: ``plain`` for those that fit a task, in pieces for the others."""
+    hot = _hot_slices(found, entries, most)
+    cool = found if hot is None else found.join(F.broadcast(hot), "slice", "left_anti")
+    answers = cool.repartition("slice").sortWithinPartitions("slice").mapInArrow(plain, ANSWERS)
+    return answers if hot is None else answers.unionByName(_hot_answers(found, hot, columns, unpacked, answer, buckets))
+
+
+def hits(found: DataFrame, bits: int, buckets: int, most: int = HOT) -> DataFrame:
     """(doc_id, hits): hashes of a document's windows that are some block and occur in two documents."""
     rest = _rest_bits(bits)
 
@@ -240,7 +359,15 @@ def hits(found: DataFrame, bits: int, buckets: int) -> DataFrame:
             whole = hashes[keep].astype(np.uint64) | np.uint64(part << rest)
             yield from _answers(doc[keep], np.zeros(len(whole), np.int64), whole, buckets)
 
-    answers = found.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, ANSWERS)
+    def entries(row: tuple) -> tuple[np.ndarray, ...]:
+        part, ids, docs, hashes, blocks = row
+        whole = unpack(hashes, np.uint32).astype(np.uint64) | np.uint64(part << rest)
+        none = np.zeros(len(whole), np.int64)
+        return (whole, none.view(np.uint64), unpack(ids, np.int64)[_from_planes(docs, np.uint16)],
+                np.unpackbits(np.frombuffer(blocks, np.uint8))[:len(whole)], none, whole)
+
+    answers = _split(found, F.octet_length("hashes") / 4, most, ANCHORS, run, entries,
+                     lambda doc, least: np.ones(len(doc), bool), buckets)
     return _per_text(answers, np.uint64, "hits").drop("content")
 
 
@@ -304,7 +431,7 @@ def windows(candidates: DataFrame, bits: int) -> DataFrame:
     return candidates.select("doc_id", "content", "text", "hits").mapInArrow(run, WINDOWS)
 
 
-def repeats(found: DataFrame, buckets: int) -> DataFrame:
+def repeats(found: DataFrame, buckets: int, most: int = HOT) -> DataFrame:
     """(doc_id, content, starts): windows of a text that also start in a smaller doc_id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _slice_rows(batches):
@@ -320,7 +447,15 @@ def repeats(found: DataFrame, buckets: int) -> DataFrame:
             gone = least < doc
             yield from _answers(doc[gone], text[gone], start[gone], buckets)
 
-    answers = found.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, ANSWERS)
+    def entries(row: tuple) -> tuple[np.ndarray, ...]:
+        _, ids, texts, docs, first, second, starts = row
+        at = _from_planes(docs, np.uint16)
+        doc, text = np.frombuffer(ids, np.int64)[at], np.frombuffer(texts, np.int64)[at]
+        return (np.frombuffer(first, np.uint64), np.frombuffer(second, np.uint64), doc, np.ones(len(doc), np.uint8), text,
+                _from_planes(starts, np.uint32))
+
+    answers = _split(found, F.octet_length("first") / 8, most, WINDOWS, run, entries,
+                     lambda doc, least: least < doc, buckets)
     return _per_text(answers, np.uint32, "starts")
 
 
@@ -355,7 +490,7 @@ def summaries(docs: DataFrame) -> DataFrame:
         run, "doc_id bigint, content binary, n_words bigint, whole_sha256 string")
 
 
-def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def removed(docs: DataFrame, most: int = HOT) -> tuple[DataFrame, DataFrame]:
     """What texts lose, and the summaries of all rows.
 
     The first has doc_id, content (SHA-256 of the text), n_words, n_removed,
@@ -367,7 +502,7 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = facts.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.count("*").alias("rows")).first()
     bits, buckets = _slice_bits(total["words"]), max(1, total["rows"] // BUCKET_DOCS)
     ordered = texts.filter("doc_id is not null")
-    found = hits(anchors(ordered, bits), bits, buckets)
+    found = hits(anchors(ordered, bits), bits, buckets, most)
     # Of equal texts the least doc_id goes on; the others repeat it as a whole.
     firsts = stash(facts.filter(f"doc_id is not null and n_words >= {WINDOW}").groupBy("content").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("content", "first"),
@@ -379,7 +514,7 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     gone = copies.select(F.col("doc_id").alias("copy_id"), F.col("content").alias("copy"))
     candidates = stash(met.join(gone, (F.col("doc_id") == F.col("copy_id")) & (F.col("digest") == F.col("copy")), "left_anti")
                        .dropDuplicates(["doc_id", "digest"]).withColumn("content", F.xxhash64("digest")), "substring-candidates")
-    starts = repeats(windows(candidates, bits), buckets)
+    starts = repeats(windows(candidates, bits), buckets, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,10 +534,10 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut.unionByName(all_gone), facts
 
 
-def op5_substrings(docs: DataFrame) -> DataFrame:
+def op5_substrings(docs: DataFrame, most: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
     prepare(docs.sparkSession)
-    lost, facts = removed(docs)
+    lost, facts = removed(docs, most)
     lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("content").alias("lost"), "n_removed", "kept_sha256")
     return facts.join(lost, (F.col("doc_id") == F.col("lost_id")) & (F.col("content") == F.col("lost")), "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),

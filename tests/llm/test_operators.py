@@ -228,6 +228,22 @@ def test_op5_against_brute_force(docs, rows, none):
     assert substrings.op5_substrings(none).count() == 0
 
 
+def test_op5_hot_slices_are_answered_in_pieces(spark, docs, rows, tmp_path):
+    # Every slice counts as hot; a passage of a third of the rows is one entry of a flush.
+    want = _brute_repeats(rows)
+    assert _bag(substrings.op5_substrings(docs, most=50), "doc_id", "n_words", "n_removed", "kept_sha256") == want
+    passage = " ".join(f"p{k}" for k in range(60))
+    hot = [(k, passage if k % 3 else f"x{k} " * 60) for k in range(900)]
+    df = spark.createDataFrame(hot, "doc_id long, text string").repartition(4)
+    packed = substrings.anchors(df, 3).collect()
+    for row in packed:
+        ids = substrings.unpack(row["ids"], np.int64)[substrings._from_planes(row["docs"], np.uint16)]
+        hashes = substrings.unpack(row["hashes"], np.uint32).astype(np.uint64)
+        reduced = substrings._least(hashes, hashes, ids, ids, np.ones(len(ids), np.uint8))
+        assert len(reduced[0]) == len(set(hashes.tolist()))
+    assert _bag(substrings.op5_substrings(df, most=500), "doc_id", "n_words", "n_removed", "kept_sha256") == _brute_repeats(hot)
+
+
 def test_packed_arrays_round_trip():
     values = np.sort(np.random.default_rng(2).integers(0, 2 ** 32, 1000).astype(np.uint32))
     assert (substrings.unpack(substrings.pack(values), np.uint32) == values).all()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdcast.llm.common import prepare, slices, spaced, stash, text_bytes
+from holdcast.llm.common import located, prepare, slices, spaced, stash, text_bytes
 from holdcast.llm.components import components
 
 SHINGLE = 3
@@ -227,6 +227,24 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of every component, all columns as they were.
+
+    The row with the least doc_id stays, of several the first by content locator; a NULL doc_id is greater than any other.
+    """
+    columns = docs.columns
+    docs = located(docs)
+    # Rows are told apart by a number of their own, so that nulls and repeated ids are rows like any other.
+    numbered = stash(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("__file").alias("file"), F.col("__position").alias("position")).alias("row")), "simhash-numbered")
+    found = near_duplicates(numbered.select("doc_id", "text"), shingle, radius).select("doc_id", "component_id")
+    first = found.join(numbered.select("doc_id", "row"), "doc_id").groupBy("component_id").agg(F.min("row").alias("row"))
+    kept = first.select(F.col("row.file").alias("__kept_file"), F.col("row.position").alias("__kept_position"))
+    return docs.join(kept, (F.col("__file") == F.col("__kept_file"))
+                     & (F.col("__position") == F.col("__kept_position")), "left_semi").select(*columns)
+
+
 def op1_simhash(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id."""
     return near_duplicates(docs).select(

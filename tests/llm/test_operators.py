@@ -100,6 +100,19 @@ def test_op1_against_brute_force(docs, rows, none):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, c in named if d is None or d == c}
 
 
+def test_near_dedup_keeps_one_row_of_every_group(spark):
+    import corpus_pipeline
+    common.prepare(spark)
+    near = " ".join(f"a{k}" for k in range(3000))
+    rows = [(None, near), (None, near + " x"), (7, near), (7, near + " y"), (7, "some other words"), (9, near),
+            (None, "no copies here"), (None, "four more words"), (None, "four more words"), (3, None), (3, "")]
+    group = _groups([_fingerprint(t) for _, t in rows], lambda a, b: (a ^ b).bit_count() <= 2)
+    got = corpus_pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
+    of = {t: g for (_, t), g in zip(rows, group)}
+    assert len(got) == len(set(group)) and {of[r["text"]] for r in got} == set(group)
+    assert Counter(r["doc_id"] for r in got) == Counter([7, 7, None, None, 3])
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
 def test_bit_sliced_pairs(radius):
     rng = np.random.default_rng(radius)

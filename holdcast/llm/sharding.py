@@ -50,7 +50,8 @@ def with_virtual_slots(recs: DataFrame, slots: int = SLOTS, pieces: int = PIECES
     groups = recs.groupBy("group").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
     share = F.greatest(F.col("rows") * pieces / F.lit(max(1, whole["rows"])),
                        F.col("bytes") * pieces / F.lit(max(1, whole["bytes"])))
-    large = groups.select("group", F.ceil(share).alias("parts")).filter((F.col("parts") > 1) & F.lit(whole["rows"] > pieces))
+    # A group has no more parts than rows.
+    large = groups.select("group", F.least(F.ceil(share), F.col("rows")).alias("parts")).filter(F.col("parts") > 1)
     salt = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(F.lit("piece"), "doc_id", "id"), F.col("parts")))
     return recs.join(F.broadcast(large), "group", "left").withColumn(

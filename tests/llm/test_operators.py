@@ -192,6 +192,13 @@ def test_large_groups_are_dealt_over_slots(spark):
     assert most < 6000 / 100
 
 
+def test_op3_small_table_with_a_large_group(spark):
+    common.prepare(spark)
+    rows = [(k, "x" * 100 if k < 100 else f"{k} ".ljust(100)) for k in range(300)]
+    got = Counter(r["shard"] for r in sharding.op3_sharding(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert len(got) == 40 and max(got.values()) <= 9
+
+
 def test_op4_learns_and_handles_awkward_rows(spark, docs, none):
     labels = spark.createDataFrame([(None, 1, 0), (3, None, 0), (6, 1, 0), (9, 0, 0), (12345, 1, 0), (9, 0, 0)],
                                    "doc_id long, quality int, score int")

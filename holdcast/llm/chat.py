@@ -113,23 +113,37 @@ def _state(role: Column, later: Column) -> Column:
     return index + later.cast("int")
 
 
+def moves(per_turn: DataFrame) -> DataFrame:
+    """(end, next): the last state of every turn and the role of the next turn with a known role.
+
+    ``per_turn`` has KEY, turn, order, role and last, a row per turn. Turns meet the next one inside
+    their block; the last one of a block meets the first one of the conversation's next block.
+    """
+    place = ["turn", "order", "role"]
+    inside = Window.partitionBy(*KEY).orderBy(*place)
+    ends = per_turn.select(*KEY, *place, _state(F.col("role"), F.col("last") > 0).alias("end")).withColumn(
+        "next", F.lead("role").over(inside))
+    edge = stash(per_turn.groupBy(*KEY).agg(
+        F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place, "last")).alias("final")), "chat-edges")
+    across = edge.withColumn("next", F.lead("first.role").over(Window.partitionBy("conv").orderBy("block_turn", "block_part")))
+    return ends.select("end", "next").unionByName(across.select(
+        _state(F.col("final.role"), F.col("final.last") > 0).alias("end"), "next")).filter("next is not null")
+
+
 def learn(lines: DataFrame) -> Hmm:
-    """Smoothed counts over all lines whose role is known. Lines have conv, turn, order, role, place, symbol."""
+    """Smoothed counts over all lines whose role is known. Lines have KEY, turn, order, role, place, symbol."""
     known = lines.filter("role is not null").withColumn("state", _state(F.col("role"), F.col("place") > 0))
     show = np.ones((START, SYMBOLS))
     for r in known.groupBy("state", "symbol").count().collect():
         show[r["state"], r["symbol"]] += r["count"]
     move = np.ones((START + 1, START))
-    per_turn = stash(known.groupBy("conv", "turn", "order", "role").agg(F.max("place").alias("last")), "chat-turns")
+    per_turn = stash(known.groupBy(*KEY, "turn", "order", "role").agg(F.max("place").alias("last")), "chat-turns")
     later = F.sum(F.when(F.col("last") > 0, 1).otherwise(0))
     for r in per_turn.groupBy("role").agg(later.alias("second"), F.sum("last").alias("rest")).collect():
         k = 2 * ROLES.index(r["role"])
         move[k, k + 1] += r["second"]
         move[k + 1, k + 1] += r["rest"] - r["second"]
-    ends = per_turn.select("conv", "turn", _state(F.col("role"), F.col("last") > 0).alias("end"))
-    nexts = per_turn.groupBy("conv", "turn").agg(F.min("role").alias("next")).select(
-        "conv", (F.col("turn") - 1).alias("turn"), "next")
-    for r in ends.join(nexts, ["conv", "turn"]).groupBy("end", "next").count().collect():
+    for r in moves(per_turn).groupBy("end", "next").count().collect():
         move[r["end"], 2 * ROLES.index(r["next"])] += r["count"]
     first = per_turn.groupBy("conv").agg(F.min(F.struct("turn", "order", "role")).alias("first"))
     for r in first.groupBy("first.role").count().collect():

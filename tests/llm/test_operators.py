@@ -359,6 +359,21 @@ def test_op8_awkward_rows_and_long_transcripts(spark):
     assert chat.op8_chat(conv.limit(0)).count() == 0
 
 
+def test_op8_learns_from_gaps_ties_and_block_borders(spark):
+    common.prepare(spark)
+    rows = [(1, t * 10, ["user", "assistant"][t % 2], f"a {t}") for t in range(30)]
+    rows += [(2, 5, ["user", "system"][k % 2], f"b {k}") for k in range(1500)] + [(2, 9, None, "c"), (2, 12, "user", "d")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.with_blocks(chat.turns(conv)).filter("role is not null").withColumn("last", F.lit(0))
+    want = Counter()
+    ordered = sorted(((r["conv"], r["turn"], r["order"], r["role"]) for r in found.collect()))
+    for a, b in zip(ordered, ordered[1:]):
+        if a[0] == b[0]:
+            want[2 * chat.ROLES.index(a[3]), b[3]] += 1
+    assert sum(want.values()) == 29 + 1500
+    assert Counter((r["end"], r["next"]) for r in chat.moves(found).collect()) == want
+
+
 def test_blocks_give_the_viterbi_path():
     rng = np.random.default_rng(6)
     move = np.log(rng.dirichlet(np.ones(chat.START), chat.START + 1))

@@ -9,7 +9,7 @@ are rendered in one canonical form.
 
 Long transcripts are cut into blocks. A block's lines are folded into a matrix
 of best scores from any entry state to any exit state (max-plus product); the
-matrices of a transcript give every block's entry and exit state, and each
+matrices of a transcript, multiplied in levels of FAN, give every block's entry and exit state, and each
 block is decoded between them. That is the exact Viterbi path, and a transcript
 with a third of all turns is many blocks. A block has BLOCK turn numbers; where
 rows that share turn numbers make it large, it is cut by turn and by text hash.
@@ -50,6 +50,8 @@ SYMBOLS = (len(ROLES) + 1) * (len(LENGTHS) + 1) * 2
 BLOCK = 64                             # turn numbers of a block
 BLOCK_ROWS = 1024                      # rows beyond which a block is cut further
 PIECE_ROWS = 256
+FAN = 256                              # matrices of a transcript that meet in one place
+PIECE_BYTES = 16 << 20                 # text beyond which a rendered turn is given in pieces
 
 
 def _pick(column: Column, values: list[str]) -> Column:
@@ -179,14 +181,19 @@ def path(model: Hmm, symbols: np.ndarray, entry: int = START, leave: int | None
     return out
 
 
-def borders(matrices: np.ndarray) -> list[tuple[int, int]]:
-    """(entry, exit) state of every block of one transcript, from its matrices in order."""
+def product(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Matrix of two successive blocks together."""
+    return (one[:, :, None] + two[None, :START]).max(axis=1)
+
+
+def borders(matrices: np.ndarray, come: int = START, leave: int | None = None) -> list[tuple[int, int]]:
+    """(entry, exit) state of every block of a run that enters from ``come`` (and ends in ``leave``), from its matrices in order."""
     reach, entry = [], np.full(START + 1, -np.inf)
-    entry[START] = 0
+    entry[come] = 0
     for m in matrices:
         reach.append(entry)
         entry = np.r_[(entry[:, None] + m).max(axis=0), -np.inf]
-    leave, out = int(entry.argmax()), []
+    leave, out = int(entry.argmax()) if leave is None else leave, []
     for k in range(len(matrices) - 1, -1, -1):
         come = int((reach[k] + matrices[k][:, leave]).argmax())
         out.append((come, leave))
@@ -235,6 +242,73 @@ def _batches(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType],
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
 
+_TEXT, _LONG, _INT, _MATRIX = pa.string(), pa.int64(), pa.int32(), pa.list_(pa.float64())
+_KEY_TYPES = "conv string, block_turn bigint, block_part bigint"
+
+
+def _square(flat: list[float]) -> np.ndarray:
+    return np.array(flat).reshape(START + 1, START)
+
+
+def runs(folded: DataFrame, fan: int) -> DataFrame:
+    """``folded`` (KEY, matrix) with run_turn, run_part, the first block of its run; and a row for the product of
+    every run, which has whole = 1. Runs are at most ``fan`` successive blocks of one transcript."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            head, n, all_ = None, 0, None
+            for batch in batches:
+                for conv, turn, part, flat in zip(*(c.to_pylist() for c in batch.columns)):
+                    if head is None or head[0] != conv or n == fan:
+                        if head is not None:
+                            yield (*head, all_.reshape(-1).tolist(), *head[1:], 1)
+                        head, n, all_ = (conv, turn, part), 1, _square(flat)
+                    else:
+                        n, all_ = n + 1, product(all_, _square(flat))
+                    yield (conv, turn, part, flat, *head[1:], 0)
+            if head is not None:
+                yield (*head, all_.reshape(-1).tolist(), *head[1:], 1)
+        return _batches(rows(), [*KEY, "matrix", "run_turn", "run_part", "whole"],
+                        [_TEXT, _LONG, _LONG, _MATRIX, _LONG, _LONG, _INT])
+
+    # Many runs to a partition, so that every level is much smaller than the one below.
+    parts = max(1, folded.count() // (16 * fan))
+    return stash(folded.select(*KEY, "matrix").repartitionByRange(parts, *KEY).sortWithinPartitions(*KEY).mapInArrow(
+        run, f"{_KEY_TYPES}, matrix array<double>, run_turn bigint, run_part bigint, whole int"), "chat-runs")
+
+
+def all_borders(folded: DataFrame, fan: int = FAN) -> DataFrame:
+    """(KEY, entry, leave) of all blocks, from ``folded`` (KEY, matrix).
+
+    Matrices of long transcripts are multiplied in levels until at most ``fan`` are left of each;
+    then the borders go down the levels, at most ``fan`` matrices at a time.
+    """
+    levels, top = [], folded
+    while (top.groupBy("conv").count().agg(F.max("count")).first()[0] or 0) > fan:
+        found = runs(top, fan)
+        levels.append(found.filter("whole = 0").drop("whole"))
+        top = found.filter("whole = 1").select(*KEY, "matrix")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((*r[:3], *b) for _, held in _groups(batches, 1)
+                for r, b in zip(held, borders(np.array([r[3] for r in held]).reshape(len(held), START + 1, START))))
+        return _batches(rows, [*KEY, "entry", "leave"], [_TEXT, _LONG, _LONG, _INT, _INT])
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((r[0], *r[3:5], *b) for _, held in _groups(batches, 3) for r, b in zip(held, borders(
+            np.array([r[5] for r in held]).reshape(len(held), START + 1, START), *held[0][6:8])))
+        return _batches(rows, [*KEY, "entry", "leave"], [_TEXT, _LONG, _LONG, _INT, _INT])
+
+    kinds = f"{_KEY_TYPES}, entry int, leave int"
+    border = top.select(*KEY, "matrix").repartition("conv").sortWithinPartitions(*KEY).mapInArrow(ends, kinds)
+    for level in reversed(levels):
+        of_run = stash(border, "chat-borders").select(
+            "conv", F.col("block_turn").alias("run_turn"), F.col("block_part").alias("run_part"), "entry", "leave")
+        run = ["conv", "run_turn", "run_part"]
+        border = level.join(of_run, run).select(*run, *KEY[1:], "matrix", "entry", "leave").repartition(
+            *run).sortWithinPartitions(*run, *KEY[1:]).mapInArrow(down, kinds)
+    return border
+
+
 def recover(lines: DataFrame, model: Hmm) -> DataFrame:
     """``lines`` (KEY, turn, order, place, line, symbol) with state and turn_no, counted from 1 in each transcript.
 
@@ -247,11 +321,6 @@ def recover(lines: DataFrame, model: Hmm) -> DataFrame:
                 for key, held in _groups(batches, 3))
         return _batches(rows, [*KEY, "matrix"], [text, long, long, pa.list_(pa.float64())])
 
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((*r[:3], *b) for _, held in _groups(batches, 1)
-                for r, b in zip(held, borders(np.array([r[3] for r in held]).reshape(len(held), START + 1, START))))
-        return _batches(rows, [*KEY, "entry", "leave"], [text, long, long, int_, int_])
-
     def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for _, held in _groups(batches, 3):
@@ -263,9 +332,9 @@ def recover(lines: DataFrame, model: Hmm) -> DataFrame:
 
     order = [*KEY, "turn", "order", "place"]
     key = "conv string, block_turn bigint, block_part bigint"
-    folded = lines.select(*order, "symbol").repartition(*KEY).sortWithinPartitions(*order).mapInArrow(
-        matrices, f"{key}, matrix array<double>")
-    border = folded.repartition("conv").sortWithinPartitions(*KEY).mapInArrow(ends, f"{key}, entry int, leave int")
+    folded = stash(lines.select(*order, "symbol").repartition(*KEY).sortWithinPartitions(*order).mapInArrow(
+        matrices, f"{key}, matrix array<double>"), "chat-folded")
+    border = all_borders(folded)
     decoded = stash(lines.join(border, KEY).select(*order, "line", "symbol", "entry", "leave").repartition(*KEY)
                     .sortWithinPartitions(*order).mapInArrow(
                         states, f"{key}, turn bigint, order bigint, place int, line string, state int, starts bigint"),
@@ -276,18 +345,52 @@ def recover(lines: DataFrame, model: Hmm) -> DataFrame:
     return decoded.join(base, KEY).withColumn("turn_no", F.col("base") + F.col("starts")).drop("base", "starts")
 
 
-def render(found: DataFrame) -> DataFrame:
-    """One row per recovered turn: conv_id, turn_no, role, at_turn, n_lines, rendered."""
+def _with_piece(found: DataFrame, large: DataFrame, facts: DataFrame, piece_bytes: int) -> DataFrame:
+    """Lines of the ``large`` turns with piece, and the turn's first line and last piece."""
+    turn, place = ["conv", "turn_no"], ["turn", "order", "place"]
+    whole = Window.partitionBy(*turn)
+    blocks = facts.join(large, turn, "left_semi").select(
+        *turn, *KEY[1:], F.coalesce(F.sum("bytes").over(whole.orderBy(*KEY[1:]).rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    last = facts.join(large, turn, "left_semi").groupBy(*turn).agg(
+        F.min("first").alias("first"), (F.sum("bytes") - F.max("last")["size"]).alias("at"))
+    inside = Window.partitionBy(*turn, *KEY[1:]).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    piece = lambda at: F.floor(at / piece_bytes).cast("int")
+    return found.join(large, turn, "left_semi").join(stash(blocks, "chat-bases"), [*turn, *KEY[1:]]).join(
+        last, turn).withColumn("piece", piece(F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))).withColumn(
+        "last_piece", piece(F.col("at")))
+
+
+def render(found: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Recovered turns: conv_id, turn_no, piece, role, at_turn, n_lines, rendered.
+
+    One row per turn; a turn of more than ``piece_bytes`` is given in pieces, numbered from 0, that
+    joined in order are the rendered turn. n_lines counts the lines of the piece.
+    """
     body = F.when(F.col("state") % 2 == 0, F.regexp_replace("line", MARKER, "")).otherwise(F.col("line"))
-    per_turn = found.groupBy("conv", "turn_no").agg(
-        F.min(F.struct("turn", "order", "place", "state")).alias("first"), F.count("*").alias("n_lines"),
-        F.array_sort(F.collect_list(F.struct("turn", "order", "place", body.alias("body")))).alias("lines"))
+    found = found.withColumn("body", body).withColumn("size", (F.octet_length("body") + 1).cast("bigint"))
+    turn, place = ["conv", "turn_no"], ["turn", "order", "place"]
+    facts = stash(found.groupBy(*turn, *KEY[1:]).agg(
+        F.sum("size").alias("bytes"), F.min(F.struct(*place, "state")).alias("first"),
+        F.max(F.struct(*place, "size")).alias("last")), "chat-facts")
+    large = stash(facts.groupBy(*turn).agg(F.sum("bytes").alias("bytes")).filter(
+        F.col("bytes") > piece_bytes).select(*turn), "chat-large")
+    lines = F.array_sort(F.collect_list(F.struct(*place, "body"))).alias("lines")
+    n_lines = F.count("*").alias("n_lines")
+    per_turn = found.join(F.broadcast(large), turn, "left_anti").groupBy(*turn).agg(
+        F.lit(0).alias("piece"), F.lit(0).alias("last_piece"), F.min(F.struct(*place, "state")).alias("first"), n_lines, lines)
+    if not large.isEmpty():
+        per_turn = per_turn.unionByName(_with_piece(found, large, facts, piece_bytes).groupBy(*turn, "piece").agg(
+            F.first("last_piece").alias("last_piece"), F.first("first").alias("first"), n_lines, lines))
     role = _pick(F.floor(F.col("first.state") / 2), list(ROLES))
-    content = F.trim(F.array_join(F.transform("lines", lambda x: x["body"]), "\n"))
+    starts, stops = F.col("piece") == 0, F.col("piece") == F.col("last_piece")
+    text = F.array_join(F.transform("lines", lambda x: x["body"]), "\n")
+    text = F.when(starts & stops, F.trim(text)).when(starts, F.ltrim(text)).when(stops, F.rtrim(text)).otherwise(text)
     return per_turn.select(
-        F.when(F.col("conv") != "", F.col("conv").cast("bigint")).alias("conv_id"), "turn_no", role.alias("role"),
+        F.when(F.col("conv") != "", F.col("conv").cast("bigint")).alias("conv_id"), "turn_no", "piece", role.alias("role"),
         F.when(F.col("first.turn") > (-1 << 62), F.col("first.turn")).alias("at_turn"), "n_lines",
-        F.concat(F.lit("<|"), role, F.lit("|>\n"), content, F.lit("\n<|end|>")).alias("rendered"))
+        F.concat(F.when(starts, F.concat(F.lit("<|"), role, F.lit("|>\n"))).otherwise(F.lit("\n")), text,
+                 F.when(stops, F.lit("\n<|end|>")).otherwise(F.lit(""))).alias("rendered"))
 
 
 def parse(conversations: DataFrame) -> DataFrame:
@@ -300,5 +403,5 @@ def parse(conversations: DataFrame) -> DataFrame:
 
 
 def op8_chat(conversations: DataFrame) -> DataFrame:
-    """conv_id, turn_no, role, at_turn, n_lines, rendered."""
+    """conv_id, turn_no, piece, role, at_turn, n_lines, rendered."""
     return render(parse(conversations))

@@ -385,6 +385,27 @@ def test_blocks_give_the_viterbi_path():
     assert np.concatenate([chat.path(model, p, *e) for p, e in zip(parts, ends)]).tolist() == whole.tolist()
 
 
+def test_borders_in_levels_and_turns_in_pieces(spark):
+    common.prepare(spark)
+    rng = np.random.default_rng(8)
+    blocks = [(conv, t * 64, 0, rng.normal(0, 5, (chat.START + 1, chat.START))) for conv, n in (("1", 70), ("2", 3)) for t in range(n)]
+    folded = spark.createDataFrame([(*b[:3], b[3].reshape(-1).tolist()) for b in blocks],
+                                   "conv string, block_turn bigint, block_part bigint, matrix array<double>").repartition(3)
+    got = {(r["conv"], r["block_turn"]): (r["entry"], r["leave"]) for r in chat.all_borders(folded, fan=4).collect()}
+    for conv in ("1", "2"):
+        own = [b for b in blocks if b[0] == conv]
+        assert [got[b[:2]] for b in own] == chat.borders(np.stack([b[3] for b in own]))
+    found = [("5", 64 * (k // 50), 0, k, k, 0, f"  line {k} ", 2 if k == 0 else 3, 1) for k in range(300)]
+    found += [("6", 0, 0, 1, 1, 0, "short", 2, 1)]
+    lines = spark.createDataFrame(found, "conv string, block_turn bigint, block_part bigint, turn bigint, order bigint, "
+                                         "place int, line string, state int, turn_no bigint").repartition(3)
+    key = lambda rows: sorted((r["conv_id"], r["piece"], r["rendered"], r["n_lines"], r["role"], r["at_turn"]) for r in rows)
+    whole, pieces = key(chat.render(lines).collect()), key(chat.render(lines, piece_bytes=200).collect())
+    assert len(whole) == 2 and len(pieces) > 10 and max(len(p[2]) for p in pieces) < 300
+    assert "".join(p[2] for p in pieces if p[0] == 5) == whole[0][2] and pieces[-1] == whole[1]
+    assert sum(p[3] for p in pieces) == 301 and {p[4:] for p in pieces if p[0] == 5} == {whole[0][4:]}
+
+
 def test_op9_against_brute_force(spark):
     common.prepare(spark)
     rng = np.random.default_rng(7)

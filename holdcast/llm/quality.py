@@ -1,7 +1,7 @@
 """Quality classifier from positive and unlabelled texts.
 
 Trusted positives are documents labelled 1; unlabelled web text is any
-document. A linear model over byte-class and repetition features minimises the
+document of the labels that may be learned from, its label unseen. A linear model over byte-class and repetition features minimises the
 non-negative unbiased risk (Kiryo et al., "Positive-Unlabeled Learning with
 Non-Negative Risk Estimator"):
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdcast.llm.common import Rolling, mix64, prepare, slices, spaced, stash, text_bytes
+from holdcast.llm.common import Rolling, located, mix64, prepare, slices, spaced, stash, text_bytes
 
 POSITIVES = 6_000
 UNLABELLED = 12_000
@@ -146,18 +146,22 @@ def _sample(ids: DataFrame, most: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """Fit on a bounded sample: trusted positives, and documents whatever their label."""
+    """Fit on a bounded sample of the labelled rows: trusted positives, and documents whatever their label."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
     prior = known.agg(F.avg("quality")).first()[0]
     prior = 0.5 if prior is None else float(prior)
     one = _sample(known.filter("quality = 1"), positives).withColumn("trusted", F.lit(1))
-    any_ = _sample(docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")), unlabelled
-                   ).withColumn("trusted", F.lit(0))
+    any_ = _sample(known, unlabelled).withColumn("trusted", F.lit(0))
     chosen = stash(one.unionByName(any_).groupBy("doc_id").agg(
         F.max("trusted").alias("trusted"), F.min("trusted").alias("other")), "quality-sample")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text")).join(
-        F.broadcast(chosen), "doc_id").select("doc_id", "text", "trusted", "other")
+    rows = located(docs.select("doc_id", "text")).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    # Of rows that repeat a doc_id the first by content locator: the sample bounds rows, not only doc_ids.
+    first = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "trusted", "other").agg(
+        F.min(F.struct("__file", "__position")).alias("at")).select(
+        "trusted", "other", F.col("at.__file").alias("__file"), F.col("at.__position").alias("__position"))
+    texts = rows.join(F.broadcast(first), ["__file", "__position"]).select(
+        "doc_id", text_bytes().alias("text"), "trusted", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in slices(batches, 1):
@@ -167,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
                 names=["doc_id", "trusted", "other", "x"])
 
     found = texts.mapInArrow(run, "doc_id bigint, trusted int, other int, x array<float>").toArrow()  # bounded by the sample
-    # One order for the sums, however the rows arrived; a doc_id's repeated rows are all used.
+    # One order for the sums, however the rows arrived.
     found = found.sort_by([("doc_id", "ascending")])
     x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES).astype(float) \
         if found.num_rows else np.zeros((0, FEATURES))

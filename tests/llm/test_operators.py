@@ -212,6 +212,17 @@ def test_op4_learns_and_handles_awkward_rows(spark, docs, none):
     assert {r["score"] for r in quality.op4_quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_op4_fits_one_row_of_a_doc_id(spark, monkeypatch):
+    common.prepare(spark)
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5]
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, quality int")
+    docs = spark.createDataFrame([(k, f"text {k} {n}") for k in ids + [1000] for n in range(50)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u, prior: seen.extend([len(p), len(u)]))
+    quality.train(docs.repartition(4), labels)
+    assert seen == [sum(k % 2 for k in ids), len(ids)]
+
+
 def test_op4_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = common.table(spark, d, "documents"), common.table(spark, d, "labels")

@@ -16,9 +16,8 @@ so a vector that makes up a third of all rows is scanned k + 1 times.
 Defined cases: vectors that are NULL or empty, hold a NULL or a non-finite component, or
 whose id is NULL take no part; vectors meet only those of their own length;
 rows that repeat id and vector count once, and a query never meets rows of its own
-id; scores are exact while they fit a BIGINT, and components are cut to 31
-bits so that they do for up to two dimensions of that size (a larger score is
-clamped to BIGINT). Fewer than k candidates give fewer rows; an empty table gives an empty result.
+id; components are BIGINTs, scores and ranks are exact, and only the score
+column shows a score beyond a BIGINT as the border of BIGINT. Fewer than k candidates give fewer rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,13 +36,13 @@ K = 10
 CELLS = 256
 QUERY_BLOCK = 1 << 15
 AT_ONCE = 256          # queries compared with one batch of rows at a time
-LIMIT = (1 << 31) - 1
+LIMB = 62              # bits of the parts in which scores beyond a BIGINT are merged
+NONE = -1 << 190       # less than any score
 
 
 def integers(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component, as an array of BIGINT."""
-    return F.transform(vector, lambda x: F.floor(
-        F.greatest(F.least(x.cast("double") * scale, F.lit(float(LIMIT))), F.lit(float(-LIMIT)))))
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
 
 
 def usable(vector: Column) -> Column:
@@ -63,7 +62,8 @@ def approximation_file(rows: DataFrame, k: int = K) -> tuple[DataFrame, dict[int
         F.struct("component", "low", "high"))), lambda r: F.struct(r["low"].alias("low"), r["high"].alias("high"))).alias("ranges"))
     same = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.distinct().withColumn("place", F.row_number().over(same)).filter(F.col("place") <= k + 1)
-    cell = lambda x, r: F.floor((x - r["low"]) * CELLS / (r["high"] - r["low"] + 1)).cast("smallint")
+    far = lambda x, r: x.cast("double") - r["low"].cast("double")  # noqa: E731  (differences may exceed a BIGINT)
+    cell = lambda x, r: F.least(F.floor(far(x, r) * CELLS / (far(r["high"], r) + 1)), F.lit(CELLS - 1)).cast("smallint")
     file = few.withColumn("dim", F.size("vector")).join(ranges, "dim").select(
         "vec_id", "dim", "vector", F.zip_with("vector", "ranges", cell).alias("cells"))
     # One row per vector length.
@@ -77,18 +77,24 @@ def _matrix(column: pa.Array, dim: int, kind) -> np.ndarray:
 class Best:
     """The k best (score, id) of every query so far; ties to the smaller id."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, largest: np.ndarray):
+        """``largest`` has the greatest size of every component over all rows."""
         self.ids, self.queries, self.k = ids, queries, k
-        wide = np.abs(queries).sum(axis=1).max(initial=0) * float(LIMIT)
-        self.kind = np.int64 if wide < 2 ** 62 else object
-        self.score = np.full((len(ids), k), np.iinfo(np.int64).min, np.int64)
+        wide = (np.abs(queries.astype(float)) @ largest).max(initial=0)
+        self.kind = np.int64 if wide < 2 ** 62 else object         # else Python's integers, which are exact
+        self.none = np.iinfo(np.int64).min if self.kind is np.int64 else NONE
+        self.score = np.full((len(ids), k), self.none, self.kind)
         self.vec = np.full((len(ids), k), np.iinfo(np.int64).max, np.int64)
 
     def _add(self, who: np.ndarray, score: np.ndarray, vec: np.ndarray) -> None:
         """Merge new (query row, score, id) entries, a matrix per query with absent entries at the least score."""
         score = np.concatenate([self.score[who], score], axis=1)
         vec = np.concatenate([self.vec[who], vec], axis=1)
-        order = np.lexsort((vec, -score.astype(float) if self.kind is object else np.bitwise_not(score)), axis=1)[:, :self.k]
+        if self.kind is object:
+            order = np.argsort(vec, axis=1, kind="stable")
+            order = np.take_along_axis(order, np.argsort(-np.take_along_axis(score, order, 1), axis=1, kind="stable"), 1)[:, :self.k]
+        else:
+            order = np.lexsort((vec, np.bitwise_not(score)), axis=1)[:, :self.k]
         self.score[who] = np.take_along_axis(score, order, 1)
         self.vec[who] = np.take_along_axis(vec, order, 1)
 
@@ -128,14 +134,26 @@ class Best:
             if not len(go):
                 break
             exact = np.einsum("qd,qcd->qc", self.queries[who[go]].astype(self.kind), vectors[part].astype(self.kind))
-            if self.kind is object:
-                exact = np.clip(exact, np.iinfo(np.int64).min + 1, np.iinfo(np.int64).max).astype(np.int64)
             ids = vec_ids[part]
             absent = bound == -np.inf
-            exact[absent], ids[absent] = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+            exact[absent], ids[absent] = self.none, np.iinfo(np.int64).max
             self._add(who[go], exact, ids)
 
 
+def _parts(score: np.ndarray) -> list[pa.Array]:
+    """Scores as three BIGINTs that compare like them, and as a BIGINT (its border where they are beyond)."""
+    mask, whole = (1 << LIMB) - 1, np.iinfo(np.int64)
+    if score.dtype == object:
+        score = score.tolist()
+        return [pa.array([x >> 2 * LIMB for x in score], pa.int64()), pa.array([x >> LIMB & mask for x in score], pa.int64()),
+                pa.array([x & mask for x in score], pa.int64()),
+                pa.array([min(max(x, whole.min), whole.max) for x in score], pa.int64())]
+    return [pa.array(score >> 63), pa.array(score >> LIMB & mask), pa.array(score & mask), pa.array(score)]
+
+
+FOUND = "query_id bigint, vec_id bigint, high bigint, middle bigint, low bigint, score bigint"
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of every query row.
 
@@ -155,7 +173,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     best = found[0]
     for more in found[1:]:
         best = best.unionByName(more)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("middle"), F.desc("low"), "vec_id")
     return best.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -171,7 +189,7 @@ def _scan(file: DataFrame, ranges: dict[int, np.ndarray], block: DataFrame, k: i
         {dim: (np.array(ids, np.int64), np.array(v, np.int64)) for dim, (ids, v) in by_dim.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {dim: Best(ids, vectors, k) for dim, (ids, vectors) in shared.value.items()}
+        best = {dim: Best(ids, vectors, k, np.abs(ranges[dim]).max(axis=1)) for dim, (ids, vectors) in shared.value.items()}
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for dim in set(dims.tolist()) & set(best):
@@ -183,11 +201,11 @@ def _scan(file: DataFrame, ranges: dict[int, np.ndarray], block: DataFrame, k: i
         for b in best.values():
             row, place = np.nonzero(b.vec != np.iinfo(np.int64).max)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(b.ids[row]), pa.array(b.vec[row, place]), pa.array(b.score[row, place])],
-                names=["query_id", "vec_id", "score"])
+                [pa.array(b.ids[row]), pa.array(b.vec[row, place]), *_parts(b.score[row, place])],
+                names=[c.split()[0] for c in FOUND.split(", ")])
 
     return file.select("vec_id", "dim", "vector", "cells").mapInArrow(
-        run, "query_id bigint, vec_id bigint, score bigint")
+        run, FOUND)
 
 
 def op9_topk(embeddings: DataFrame) -> DataFrame:

@@ -435,6 +435,20 @@ def test_op9_against_brute_force(spark):
     assert topk.op9_topk(df.limit(0)).count() == 0
 
 
+def test_op9_scores_of_large_components_are_exact(spark):
+    common.prepare(spark)
+    # 2 ** 42 in integers: beyond 31 bits, and scores beyond 2 ** 53 that differ by 1 and beyond 2 ** 63.
+    rows = [(0, [2.0 ** 32, 2.0 ** -10]), (100, [2.0 ** 45, 0.0])] + [(k, [2.0 ** 8, k / 1024]) for k in range(1, 15)]
+    rows += [(k, [2.0 ** 22, 0.0]) for k in range(20, 23)] + [(30, [2.0 ** 45, 1.0])]
+    ints = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    want = Counter()
+    for q in (0, 100):
+        scored = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)
+        want.update((q, n + 1, i, min(-s, 2 ** 63 - 1)) for n, (s, i) in enumerate(scored[:10]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert _bag(topk.op9_topk(df), "query_id", "rank", "vec_id", "score") == want
+
+
 def test_op10_targets_and_limits(docs, rows, none):
     got = mixing.op10_mixing(docs).collect()
     sizes = Counter()

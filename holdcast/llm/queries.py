@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdcast.llm import bpe, chat, exactdedup, mixing, quality, sharding, simhash, substrings, topk, warc
+from holdcast.llm import bpe, chat, clustering, exactdedup, mixing, quality, sharding, simhash, substrings, topk, warc
 from holdcast.llm.common import table
 
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": lambda s, d: chat.op8_chat(table(s, d, "conversations")),
         "op9_topk": lambda s, d: topk.op9_topk(table(s, d, "embeddings")),
         "op10_mixing": lambda s, d: mixing.op10_mixing(table(s, d, "documents")),
+        "op11_centroids": lambda s, d: clustering.op11_centroids(table(s, d, "embeddings")),
     }
 
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_substrings": substrings.OP5_SQL,
         "op6_exact_dedup": exactdedup.OP6_SQL,
         "op9_topk": topk.OP9_SQL,
+        "op11_centroids": clustering.OP11_SQL,
     }

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdcast.llm import (bpe, chat, clustering, exactdedup, mixing, quality, sharding, simhash, spelling, substrings, topk,
-                          warc)
+from holdcast.llm import (bpe, chat, clustering, exactdedup, mixing, quality, sharding, simhash, spelling, substrings, suffixes,
+                          topk, warc)
 from holdcast.llm.common import table
 
 
@@ -23,8 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": lambda s, d: chat.op8_chat(table(s, d, "conversations")),
         "op9_topk": lambda s, d: topk.op9_topk(table(s, d, "embeddings")),
         "op10_mixing": lambda s, d: mixing.op10_mixing(table(s, d, "documents")),
-        "op12_spelling": lambda s, d: spelling.op12_spelling(table(s, d, "documents")),
         "op11_centroids": lambda s, d: clustering.op11_centroids(table(s, d, "embeddings")),
+        "op12_spelling": lambda s, d: spelling.op12_spelling(table(s, d, "documents")),
+        "op13_suffixes": lambda s, d: suffixes.op13_suffixes(table(s, d, "documents")),
     }
 
 

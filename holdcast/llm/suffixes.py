@@ -14,9 +14,10 @@ So only the suffixes at anchors (one in about 39) are sorted, by their leading G
    takes equal contexts together: all strings of a later one are repeats. The strings of
    different contexts are then sorted by all their bytes, for each place of the anchor.
 3. Leading bytes that equal a splitter may lie on both sides of a boundary between
-   buckets, as those of any hot group do. They are not sent to a bucket, but compared across
-   boundaries: Spark's grouped minima over the contexts and then over the strings of
-   different contexts, which combine in the tasks, and a join back that can be split.
+   buckets, as those of any hot group do. Their rows go to all buckets alike; each answers for
+   all but its earliest row of a context. Those earliest rows are then compared across
+   the buckets: by a grouped minimum, and, for different contexts, by sorting their strings in
+   as many shards as they ask for.
 
 Memory of a task depends on BUCKET and CONTEXTS, not on the data: the buckets are as
 many as the texts ask for. One splitter a bucket, SAMPLES sampled ones before, pass
@@ -51,7 +52,6 @@ SAMPLES = 32            # sampled suffixes for each splitter
 SEGMENT = 1 << 20       # windows of a long text worked on at a time
 PLACE = np.uint64((1 << 31) - 1)
 FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 # ---- bytes, windows and anchors ----
@@ -146,10 +146,11 @@ def splitters(sample: np.ndarray, buckets: int) -> np.ndarray:
 
 def deal(lead: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of every lead, and whether it equals a splitter and so belongs to none."""
+    if not len(cuts):
+        return np.zeros(len(lead), np.int64), np.zeros(len(lead), bool)
     text = as_text(lead)
     bucket = np.searchsorted(cuts, text)
-    known = np.append(cuts, np.array([b""], cuts.dtype))
-    return bucket, known[bucket] == text
+    return bucket, cuts[bucket.clip(max=len(cuts) - 1)] == text
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -209,15 +210,19 @@ def repeated(found: DataFrame, buckets: int) -> DataFrame:
 
 # ---- second sort: the strings around them ----
 
-CONTEXT = f"bucket int, {LEAD}, before int, context binary, unknown boolean, doc_id bigint, rid bigint, text_id bigint, first int"
-ORDER = ("unknown", "doc_id", "rid", "text_id")
+CONTEXT = f"bucket int, hot boolean, {LEAD}, before int, context binary, unknown boolean, doc_id bigint, rid bigint, text_id bigint, first int"
 RANGE = "rid bigint, text_id bigint, first int, last int"
+# Ranges of repeated windows; and, with a context, the earliest rows that a bucket has seen of it.
+FOUND = f"{RANGE}, unknown boolean, doc_id bigint, before int, context binary"
+# What counts as earlier: NULL ids last, rows of one id by their texts' hashes, then places.
+ORDER = ("unknown", "doc_id", "rid", "text_id", "first")
+STEPS = [*range(0, WINDOW - 8, 8), WINDOW - 8]     # a window's bytes as symbols of eight
 
 
-def contexts(texts: DataFrame, cuts: np.ndarray, across: bool) -> DataFrame:
-    """The bytes of all windows of every kept anchor, ``before`` of them ahead of it.
+def contexts(texts: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
+    """The bytes of all windows of every kept anchor, ``before`` of them ahead of it, with a bucket.
 
-    ``across`` asks for the leads that lie on a boundary between buckets, else for the others.
+    Those whose lead lies on a boundary between buckets are ``hot`` and dealt by row, over all buckets.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in slices(batches, 0):
@@ -225,91 +230,166 @@ def contexts(texts: DataFrame, cuts: np.ndarray, across: bool) -> DataFrame:
             doc_ids, rids, text_ids = (part.column(c) for c in ("doc_id", "rid", "text_id"))
             wanted = np.unique(np.concatenate([np.asarray(kept[i].values, np.int64) + bounds[i] for i in range(len(kept))]))
             for at, first, last, lead in anchors(data, bounds):
-                bucket, hot = deal(lead, cuts)
-                use = np.flatnonzero(np.isin(at, wanted) & (hot == across))
+                use = np.flatnonzero(np.isin(at, wanted))
                 if not len(use):
                     continue
                 at, first, last, lead = at[use], first[use], last[use], lead[use]
+                bucket, hot = deal(lead, cuts)
                 doc = np.searchsorted(bounds, first, side="right") - 1
                 size = last - first + WINDOW
                 ends = np.append(0, np.cumsum(size))
                 context = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)),
                                                                          pa.py_buffer(data[ranges(first, size)].tobytes())])
                 place = pa.array(doc)
-                ids = doc_ids.take(place)
-                yield _batch(bucket=bucket[use].astype(np.int32), **_leads(lead), before=(at - first).astype(np.int32), context=context,
-                             unknown=ids.is_null(), doc_id=ids.fill_null(0), rid=rids.take(place), text_id=text_ids.take(place),
+                ids, rid = doc_ids.take(place), rids.take(place)
+                bucket = np.where(hot, rid.to_numpy() % buckets, bucket)
+                yield _batch(bucket=bucket.astype(np.int32), hot=hot, **_leads(lead), before=(at - first).astype(np.int32), context=context,
+                             unknown=ids.is_null(), doc_id=ids.fill_null(0), rid=rid, text_id=text_ids.take(place),
                              first=(first - bounds[doc]).astype(np.int32))
 
     return texts.select("text", "doc_id", "rid", "text_id", "ats").mapInArrow(run, CONTEXT)
 
 
-def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first, last) of every run of set flags in the rows of a matrix."""
-    edge = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+def _in_order(rows: pa.Table) -> pa.Table:
+    return rows.take(pa.array(np.lexsort([rows.column(c).to_numpy() for c in reversed(ORDER)])))
+
+
+def _ranges(rid, text_id, first, last, **leaders) -> pa.RecordBatch:
+    """Rows of FOUND."""
+    kinds = {"unknown": pa.bool_(), "doc_id": pa.int64(), "before": pa.int32(), "context": pa.binary()}
+    rest = {c: leaders.get(c, pa.nulls(len(rid), kind)) for c, kind in kinds.items()}
+    return _batch(rid=rid, text_id=text_id, first=first.astype(np.int32), last=last.astype(np.int32), **rest)
+
+
+def _windows(begin: np.ndarray, before: np.ndarray, most: np.ndarray, ahead: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which contexts have a window that begins ``ahead`` bytes before the anchor, and where in all bytes."""
+    use = np.flatnonzero((before >= ahead) & (before - ahead <= most))
+    return use, (begin + before - ahead)[use]
+
+
+def _string_hash(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    found = np.zeros(len(at), np.uint64)
+    for step in STEPS:
+        found = mix64(found ^ words[at + step] * FACTORS[0])
+    return found
+
+
+def _bytes_of(context: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All contexts as numbers of eight bytes, where each begins, and its last window."""
+    size = np.array([len(c) for c in context], np.int64)
+    return eights(np.frombuffer(b"".join(context), np.uint8)), np.cumsum(size) - size, size - WINDOW
+
+
+def repeated_strings(group: np.ndarray, before: np.ndarray, context: list[bytes], shard: np.ndarray | None = None,
+                     shards: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, last): runs of windows that a row of the same group, earlier in the table, has as well.
+
+    Strings are sorted by all their bytes, for each number of bytes ahead of the anchor. With ``shards``
+    a row answers only for the windows of its shard.
+    """
+    words, begin, most = _bytes_of(context)
+    removed = np.zeros((len(context), SPAN), bool)
+    for ahead in range(SPAN):
+        use, at = _windows(begin, before, most, ahead)
+        if shards is not None and len(use):
+            mine = (shards[use] == 1) | (_string_hash(words, at) % shards[use].astype(np.uint64) == shard[use].astype(np.uint64))
+            use, at = use[mine], at[mine]
+        if len(use) < 2:
+            continue
+        order, run = multikey_sort(group[use], lambda r, level: words[at[r] + STEPS[level]], len(STEPS))
+        which = use[order[np.append(False, run[1:] == run[:-1])]]
+        removed[which, before[which] - ahead] = True
+    edge = np.diff(np.pad(removed, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     row, first = np.nonzero(edge == 1)
     return row, first, np.nonzero(edge == -1)[1] - 1
 
 
+def _groups(lead: np.ndarray) -> np.ndarray:
+    order, run = multikey_sort(np.zeros(len(lead), np.int8), lambda r, level: lead[r, level], 3)
+    group = np.zeros(len(lead), np.int64)
+    group[order] = run
+    return group
+
+
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of a bucket's contexts that an earlier text, or place of the same text, has as well."""
+    """Windows of a bucket's contexts that an earlier text, or place of the same text, has as well.
+
+    Of hot contexts a bucket has only some rows: it answers for all but the earliest, which it hands on.
+    """
     rows = _all(batches)
     if rows is None:
         return
-    keys = [rows.column(c).to_numpy() for c in (*ORDER, "first")]
-    rows = rows.take(pa.array(np.lexsort(keys[::-1])))        # the order in which texts and places count as earlier
-    rids, text_ids, first = (rows.column(c).to_numpy() for c in ("rid", "text_id", "first"))
+    rows = _in_order(rows)
+    rids, text_ids, first, hot = (rows.column(c).to_numpy() for c in ("rid", "text_id", "first", "hot"))
     before, context = rows.column("before").to_numpy(), rows.column("context").to_pylist()
     known: dict[tuple[int, bytes], int] = {}
     leader = np.array([known.setdefault(key, i) for i, key in enumerate(zip(before.tolist(), context))])
     same_row = (rids == rids[leader]) & (text_ids == text_ids[leader]) & (first == first[leader])
-    size = np.array([len(c) for c in context])
     later = np.flatnonzero(~same_row)
-    yield _batch(rid=rids[later], text_id=text_ids[later], first=first[later],
-                 last=(first[later] + size[later] - WINDOW).astype(np.int32))
+    windows = np.array([len(c) for c in context], np.int64) - WINDOW
+    yield _ranges(rids[later], text_ids[later], first[later], first[later] + windows[later])
+
+    leads = leader == np.arange(len(leader))
+    ahead = rows.filter(pa.array(leads & hot))
+    yield _ranges(*(ahead.column(c).to_numpy() for c in ("rid", "text_id", "first", "first")),
+                  **{c: ahead.column(c).combine_chunks() for c in ("unknown", "doc_id", "before", "context")})
+
+    # Different contexts with one lead.
+    group = _groups(_lead(rows))
+    own = np.flatnonzero(leads & ~hot)
+    own = own[np.bincount(group[own], minlength=1)[group[own]] > 1]
+    if len(own):
+        row, start, end = repeated_strings(group[own], before[own], [context[i] for i in own.tolist()])
+        row, base = own[row], first[own[row]]
+        yield _ranges(rids[row], text_ids[row], base + start, base + end)
 
-    # Different contexts with one lead: sort their strings, for each number of bytes ahead of the anchor.
-    lead = _lead(rows)
-    order, run = multikey_sort(np.zeros(len(lead), np.int8), lambda r, level: lead[r, level], 3)
-    group = np.zeros(len(lead), np.int64)
-    group[order] = run
-    own = np.flatnonzero(leader == np.arange(len(leader)))
-    own = own[np.bincount(group[own])[group[own]] > 1]
-    if not len(own):
-        return
-    words = eights(np.frombuffer(b"".join(context[i] for i in own.tolist()), np.uint8))
-    begin = np.append(0, np.cumsum(size[own]))[:-1]
-    before, group, most = before[own], group[own], size[own] - WINDOW
-    removed = np.zeros((len(own), SPAN), bool)
-    steps = [*range(0, WINDOW - 8, 8), WINDOW - 8]
-    for ahead in range(SPAN):
-        use = np.flatnonzero((before >= ahead) & (before - ahead <= most))
-        if len(use) < 2:
-            continue
-        at = (begin + before - ahead)[use]
-        order, run = multikey_sort(group[use], lambda r, level: words[at[r] + steps[level]], len(steps))
-        again = np.append(False, run[1:] == run[:-1])
-        which = use[order[again]]
-        removed[which, before[which] - ahead] = True
-    row, start, end = _runs(removed)
-    row, base = own[row], first[own[row]]
-    yield _batch(rid=rids[row], text_id=text_ids[row], first=(base + start).astype(np.int32), last=(base + end).astype(np.int32))
 
+def _across(leaders: DataFrame, buckets: int) -> DataFrame:
+    """Ranges of the hot contexts' earliest rows, one for each bucket and context, compared across the buckets.
 
-def _across(found: DataFrame) -> DataFrame:
-    """What ``_later`` finds, for contexts whose leads lie on boundaries between buckets."""
-    found = stash(found, "suffix-across")
-    row = F.struct(*ORDER, "first")
-    least = found.groupBy("before", "context").agg(F.min(row).alias("leader"))
-    later = found.join(least, ["before", "context"]).filter(row != F.col("leader")).select(
+    A lead with more than ``buckets``' share of contexts is cut into shards by the hash of its strings.
+    """
+    row = F.struct(*ORDER)
+    least = stash(leaders.groupBy("before", "context").agg(F.min(row).alias("least")), "suffix-leaders")
+    later = leaders.join(least, ["before", "context"]).filter(row != F.col("least")).select(
         "rid", "text_id", "first", (F.col("first") + F.length("context") - WINDOW).cast("int").alias("last"))
-    start = F.explode(F.sequence(F.lit(0), F.length("context") - WINDOW)).alias("start")
-    strings = least.select("context", "leader", start).select(
-        F.substring("context", F.col("start") + 1, F.lit(WINDOW)).alias("string"),
-        F.struct(*[f"leader.{c}" for c in ORDER], (F.col("leader.first") + F.col("start")).alias("first")).alias("row"))
-    strings = stash(strings, "suffix-strings")
-    again = strings.join(strings.groupBy("string").agg(F.min("row").alias("leader")), "string").filter("row != leader")
-    return later.unionByName(again.select("row.rid", "row.text_id", "row.first", F.col("row.first").alias("last")))
+    lead = F.substring("context", F.col("before") + 1, F.lit(GRAM))
+    sizes = {bytes(r["lead"]): r["n"] for r in least.groupBy(lead.alias("lead")).agg(F.count(F.lit(1)).alias("n")).collect()}  # splitters at most
+    share = max(1, -(-sum(sizes.values()) // buckets))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before, context = batch.column("before").to_numpy(), batch.column("context").to_pylist()
+            words, begin, most = _bytes_of(context)
+            lead = np.stack([words[begin + before + 8 * i] for i in range(3)], axis=1)
+            shards = np.array([-(-sizes[c[b:b + GRAM]] // share) for c, b in zip(context, before.tolist())])
+            found = [np.flatnonzero(shards == 1)], [np.zeros(int((shards == 1).sum()), np.int64)]
+            for ahead in range(SPAN):
+                use, at = _windows(begin, before, most, ahead)
+                use, at = use[shards[use] > 1], at[shards[use] > 1]
+                found[0].append(use)
+                found[1].append((_string_hash(words, at) % shards[use].astype(np.uint64)).astype(np.int64))
+            index, shard = np.unique(np.stack([np.concatenate(x) for x in found], axis=1), axis=0).T
+            bucket = mix64(lead[index] @ np.array(FACTORS) + shard.astype(np.uint64)) % np.uint64(buckets)
+            part = batch.take(pa.array(index))
+            yield _batch(bucket=bucket.astype(np.int32), shard=shard.astype(np.int32), shards=shards[index].astype(np.int32), **_leads(lead[index]),
+                         **{c: part.column(c) for c in ("before", "context", *ORDER)})
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _all(batches)
+        if rows is None:
+            return
+        rows = _in_order(rows)
+        rids, text_ids, first, shard, shards = (rows.column(c).to_numpy() for c in ("rid", "text_id", "first", "shard", "shards"))
+        row, start, end = repeated_strings(_groups(_lead(rows)), rows.column("before").to_numpy(), rows.column("context").to_pylist(), shard, shards)
+        yield _batch(rid=rids[row], text_id=text_ids[row], first=(first[row] + start).astype(np.int32), last=(first[row] + end).astype(np.int32))
+
+    dealt = least.select("before", "context", "least.*").mapInArrow(
+        spread, f"bucket int, shard int, shards int, {LEAD}, before int, context binary, unknown boolean, doc_id bigint, "
+                "rid bigint, text_id bigint, first int")
+    return later.unionByName(dealt.repartitionById(buckets, "bucket").mapInArrow(strings, RANGE))
 
 
 # ---- what is left of every text ----
@@ -378,9 +458,11 @@ def remove_repeats(documents: DataFrame, bucket: int = BUCKET, bucket_contexts:
             F.when(F.col("ats").isNotNull(), F.col("text")).alias("text"), "ats"), "suffix-texts")
 
         texts = rows.filter(F.col("ats").isNotNull())
-        inside = contexts(texts, cuts, False).repartitionById(parts, "bucket").mapInArrow(_later, RANGE)
-        found = inside if not len(cuts) else inside.unionByName(_across(contexts(texts, cuts, True)))
-        gone = stash(found.groupBy("rid", "text_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "suffix-ranges")
+        found = stash(contexts(texts, cuts, parts).repartitionById(parts, "bucket").mapInArrow(_later, FOUND), "suffix-found")
+        gone = found.filter(F.col("context").isNull()).select("rid", "text_id", "first", "last")
+        if len(cuts):
+            gone = gone.unionByName(_across(found.filter(F.col("context").isNotNull()), parts))
+        gone = stash(gone.groupBy("rid", "text_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "suffix-ranges")
     left = texts.join(gone, ["rid", "text_id"], "left").select("text", "doc_id", "ranges").mapInArrow(_apply, RESULT)
     zero = F.lit(0).cast("bigint")
     return left.unionByName(rows.filter(F.col("ats").isNull()).select(

@@ -9,6 +9,7 @@ last bits between engines; library functions themselves do not round.
 
 from __future__ import annotations
 
+import datetime as dt
 import weakref
 from collections.abc import Callable
 
@@ -18,12 +19,14 @@ from pyspark.sql import types as T
 
 from holdcast.functions import units as U
 from holdcast.functions.dates import since
-from holdcast.operators import demand, holding, onhand, report, snapshots, totals
+from holdcast.operators import demand, holding, onhand, report, rolling, snapshots, totals
 from holdcast.schemas import Tables
 from holdcast.session import configure
 from holdcast.sources.fixtures import AS_OF, load_tables
 
 DECIMALS = 4
+# From a fortnight before the as-of date to beyond the last window that holds a row: 28 + 14 dates after it.
+AROUND = (AS_OF - dt.timedelta(days=14), AS_OF + dt.timedelta(days=42))
 
 
 def round_doubles(df: DataFrame, places: int = DECIMALS) -> DataFrame:
@@ -119,6 +122,13 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "bias_signed": lambda t: demand.bias_signed(t, AS_OF),
     "bias_90d": lambda t: demand.bias_90d(t, AS_OF),
     "bias_90d_aligned": lambda t: demand.bias_90d_aligned(t, AS_OF),
+    # many as-of dates in one pass: a month up to the as-of date, or the weeks around it
+    "holding_history": lambda t: rolling.holding_history(t, *rolling.span(AS_OF, 28)),
+    "week_over_week_history": lambda t: rolling.week_over_week_history(t, *rolling.span(AS_OF, 28)),
+    "doh_ratio_history": lambda t: rolling.doh_ratio_history(t, *rolling.span(AS_OF, 28)),
+    "bias_28d_trailing": lambda t: rolling.bias_28d_trailing(t, *AROUND),
+    "bias_90d_aligned_range": lambda t: rolling.bias_90d_aligned_range(t, *AROUND),
+    "bias_90d_range": lambda t: rolling.bias_90d_range(t, *rolling.span(AS_OF, 4)),
     # wide report
     "wide_report_aligned": lambda t: report.wide_report_aligned(t, AS_OF),
 }

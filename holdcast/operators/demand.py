@@ -31,11 +31,19 @@ PLAN_ORDER = ["SnapshotDate", "Modified_date", "ConsensusDemandPlan",
 PLAN_PAYLOAD = ["ConsensusDemandPlan", "SalesActualCustomerOrders", "DependentDemand"]
 
 
-def latest_plan(plan: DataFrame) -> DataFrame:
-    """One plan row per (DATE, LocationID, MaterialID): the latest snapshot."""
+def latest_rows(plan: DataFrame) -> DataFrame:
+    """The latest row per (DATE, LocationID, MaterialID) with the columns that rank it.
+
+    A maximum: the latest rows of two parts of a plan give those of the whole.
+    """
     top = F.max(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(PLAN_ORDER)]))
     g = plan.groupBy(*PLAN_KEYS).agg(top.alias("top"))
-    return g.select(*PLAN_KEYS, *[F.col(f"top.o{PLAN_ORDER.index(c)}").alias(c) for c in PLAN_PAYLOAD])
+    return g.select(*PLAN_KEYS, *[F.col(f"top.o{i}").alias(c) for i, c in enumerate(PLAN_ORDER)])
+
+
+def latest_plan(plan: DataFrame) -> DataFrame:
+    """One plan row per (DATE, LocationID, MaterialID): the latest snapshot."""
+    return latest_rows(plan).select(*PLAN_KEYS, *PLAN_PAYLOAD)
 
 
 def demand_quantity(plan: DataFrame) -> DataFrame:

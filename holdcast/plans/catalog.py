@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from holdcast.functions import units as U
 from holdcast.functions.dates import since
 from holdcast.operators import demand, holding, onhand, report, rolling, snapshots, totals
+from holdcast.plans import lake
 from holdcast.schemas import Tables
 from holdcast.session import configure
 from holdcast.sources.fixtures import AS_OF, load_tables
@@ -129,6 +130,14 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "bias_28d_trailing": lambda t: rolling.bias_28d_trailing(t, *AROUND),
     "bias_90d_aligned_range": lambda t: rolling.bias_90d_aligned_range(t, *AROUND),
     "bias_90d_range": lambda t: rolling.bias_90d_range(t, *rolling.span(AS_OF, 4)),
+    # the tables as lake folders, read back; kept tables after several runs
+    "lake_hierarchy_current": lake.hierarchy_current,
+    "lake_plan_archive_days": lake.plan_archive_days,
+    "lake_report_rewritten": lake.report_rewritten,
+    "lake_stock_mixed": lake.stock_mixed,
+    "latest_plan_kept": lake.latest_plan_kept,
+    "weekly_share_kept": lake.weekly_share_kept,
+    "daily_share_kept": lake.daily_share_kept,
     # wide report
     "wide_report_aligned": lambda t: report.wide_report_aligned(t, AS_OF),
 }

@@ -67,6 +67,47 @@ def read_snapshot_archive(spark: SparkSession, root: str, leaf: str, depth: int
     return conform(df, schema) if schema is not None else df
 
 
+# Type changes that keep every value; anything else is refused. Text must be ISO dates or plain numbers.
+KEEPS = {("string", "date"), ("string", "timestamp"), ("string", "int"), ("string", "bigint"), ("string", "double"),
+         ("tinyint", "int"), ("smallint", "int"), ("tinyint", "bigint"), ("smallint", "bigint"), ("int", "bigint"),
+         ("tinyint", "double"), ("smallint", "double"), ("int", "double"), ("float", "double"), ("date", "timestamp"),
+         ("tinyint", "string"), ("smallint", "string"), ("int", "string"), ("bigint", "string"), ("timestamp_ntz", "timestamp")}
+
+
+def read_mixed_folders(spark: SparkSession, folders: list[str], schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Folders of one table whose files were written with different types, as one table of ``schema``.
+
+    A folder is the output of one job and has one schema. Folders are grouped by the types of the declared
+    columns; each group is one scan that is given those types, so a filter on a column that
+    has the declared type is pushed down to that group's files. Values are then converted and the
+    groups joined by a union. A column that is missing, or whose type would lose values, is refused with the folder's name;
+    text that is no value of the type fails the query (ANSI casts).
+    """
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder in folders:                                   # a footer for each folder
+        found = spark.read.format(fmt).load(folder).schema
+        have = {f.name.lower(): f for f in found.fields}
+        own = []
+        for field in schema.fields:
+            if field.name.lower() not in have:
+                raise ValueError(f"{folder}: column {field.name} is missing")
+            kind = have[field.name.lower()].dataType
+            if kind != field.dataType and (kind.simpleString(), field.dataType.simpleString()) not in KEEPS:
+                raise ValueError(f"{folder}: {field.name} is {kind.simpleString()}, which {field.dataType.simpleString()} cannot hold whole")
+            own.append(T.StructField(have[field.name.lower()].name, kind))
+        own = T.StructType(own)
+        groups.setdefault(own.json(), (own, []))[1].append(folder)
+    parts = [spark.read.format(fmt).schema(own).load(paths).select(
+        [F.col(f.name).cast(want.dataType).alias(want.name) for f, want in zip(own.fields, schema.fields)])
+        for own, paths in groups.values()]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union
+
+
 # The names under which SQL scripts read each table.
 VIEW_NAMES = {
     "material_master": "materialmaster_temp",

@@ -9,6 +9,8 @@ has one row per (material, location, day) and grows linearly with the input.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,26 @@ def filter_holdings(df: DataFrame, material: str | None = None, location: int |
     return df
 
 
+def filtered_weekly(tables: Tables, material: str | None = None, location: int | None = None, network: str | None = None,
+                    division: str | None = None, pl3: str | None = None, iso: bool = False) -> DataFrame:
+    """``filter_holdings(weekly_with_hierarchy(t), ...)`` with the filters below the sums.
+
+    Filters on stock's own keys go to the scan. Filters on the hierarchy become the set of
+    materials that meet them, and stock is reduced to it by a semi join before it is summed, so
+    what is filtered out is neither summed nor shuffled.
+    """
+    stock = tables.batch_inventory
+    if material is not None:
+        stock = stock.filter(F.col("MaterialID") == F.lit(material))
+    if location is not None:
+        stock = stock.filter(F.col("LocationID") == F.lit(location))
+    hierarchy = filter_holdings(tables.material_hierarchy, network=network, division=division, pl3=pl3)
+    if hierarchy is not tables.material_hierarchy:
+        stock = stock.join(hierarchy.select("MaterialID"), "MaterialID", "left_semi")
+    reduced = replace(tables, batch_inventory=stock, material_hierarchy=hierarchy)
+    return weekly_with_hierarchy(reduced, iso)
+
+
 def wide_report_aligned(tables: Tables, as_of: DateLike, bias_days: int = 28,
                         day_sums: DataFrame | None = None) -> DataFrame:
     """Daily rows with their ISO week's sums, week and day shares, hierarchy and

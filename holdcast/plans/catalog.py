@@ -64,8 +64,7 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "filter_plan_on": lambda t: holding.plan_on(t, AS_OF),
     "filter_last_90d": lambda t: t.demand_plan.filter(since("SnapshotDate", AS_OF, 90)),
     "filter_last_28d": lambda t: demand.order_lines(t).filter(since("DATE", AS_OF, 28)),
-    "filter_by_hierarchy": lambda t: report.filter_holdings(
-        report.weekly_with_hierarchy(t), network="AMBIENT"),
+    "filter_by_hierarchy": lambda t: report.filtered_weekly(t, network="AMBIENT"),
     # joins
     "daily_plan_stock": lambda t: holding.plan_stock_rows(t, AS_OF),
     "daily_with_material": lambda t: holding.daily_with_material(t, AS_OF),

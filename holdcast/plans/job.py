@@ -28,6 +28,7 @@ from holdcast.functions.dates import DateLike, as_date
 from holdcast.operators import demand, holding, onhand, report, totals
 from holdcast.schemas import (BATCH_INVENTORY, DEMAND_PLAN, MATERIAL_HIERARCHY, MATERIAL_MASTER,
                               ORDER_TRACKING, Tables)
+from holdcast.plans import latest, periods
 from holdcast.plans.stage import materialize
 from holdcast.session import configure
 from holdcast.sources.tables import (read_current_partition, read_snapshot_archive, read_table,
@@ -56,6 +57,23 @@ def load_lake(spark: SparkSession, p: LakePaths) -> Tables:
     )
 
 
+@dataclass(frozen=True)
+class Kept:
+    """Where a daily job keeps what it does not recompute, and the lake folders it follows."""
+    root: str
+    stock: str
+    plan_archive: str
+    plan_leaf: str = "apo_snp_35d"
+
+    @property
+    def periods(self) -> str:
+        return f"{self.root.rstrip('/')}/periods"
+
+    @property
+    def latest_plan(self) -> str:
+        return f"{self.root.rstrip('/')}/latest_plan"
+
+
 # Report name -> builder(tables, as_of, day_sums). Reports over all stock
 # history (up to the as-of date) take the shared day sums; the as-of reports read only their dates.
 REPORTS: dict[str, Callable[[Tables, DateLike, DataFrame | None], DataFrame]] = {
@@ -138,11 +156,16 @@ def keep_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: DateLik
 
 
 def _newest_file(rows: DataFrame) -> int | None:
-    """Modification time of the newest file of ``rows``, in microseconds; None where rows have no files."""
+    """Modification time of the newest file of ``rows``, in microseconds, from the listing; None where rows have no files."""
     try:
-        return rows.agg(F.max(F.unix_micros("_metadata.file_modification_time"))).first()[0]
+        rows.select("_metadata.file_path").schema
     except AnalysisException:
         return None
+    files = rows.inputFiles()
+    if not files:
+        return None
+    listed = rows.sparkSession.read.format("binaryFile").load(files)           # no file is opened
+    return listed.agg(F.max(F.unix_micros("modificationTime"))).first()[0]
 
 
 def _last_seen(spark: SparkSession, path: str) -> dt.datetime | None:
@@ -172,9 +195,14 @@ def _drop_empty_days(spark: SparkSession, sums: DataFrame, path: str, as_of: Dat
 
 def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root: str,
                 names: list[str] | None = None, day_sums_path: str | None = None,
-                refresh_days: int | None = None, changed_since: dt.datetime | None = None) -> list[str]:
+                refresh_days: int | None = None, changed_since: dt.datetime | None = None,
+                kept: Kept | None = None) -> list[str]:
     """Write each report to ``out_root/<name>/as_of=<date>``; returns the names.
 
+    With ``kept`` the run follows what is new: the period reports are versions of kept tables, of which only changed
+    days and weeks are rewritten (``plans.periods``; read them with ``read_period``, by version or as-of
+    date), the other reports use the kept day sums and the kept latest plan (``plans.latest``).
+
     Full-history reports read stock day sums instead of every batch row: kept
     current at ``day_sums_path`` (see ``refresh_day_sums``), or, without a path
     and when more than one such report is asked for, computed once and written
@@ -184,7 +212,14 @@ def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root:
     configure(spark)
     names = names or list(REPORTS)
     day_sums = None
-    if day_sums_path and NEEDS_DAY_SUMS.intersection(names):
+    published: set[str] = set()
+    if kept is not None:
+        version = periods.refresh_periods(spark, tables, kept.stock, kept.periods, as_of)
+        day_sums = periods.read_period(spark, kept.periods, periods.DAY_SUMS, version)
+        latest.refresh_latest_plan(spark, kept.plan_archive, kept.plan_leaf, kept.latest_plan, as_of)
+        tables = replace(tables, demand_plan=latest.read_latest_rows(spark, kept.latest_plan))
+        published = set(periods.REPORTS)
+    elif day_sums_path and NEEDS_DAY_SUMS.intersection(names):
         day_sums = keep_day_sums(spark, tables, day_sums_path, as_of, refresh_days, changed_since)
     elif len(NEEDS_DAY_SUMS.intersection(names)) > 1:
         day_sums = materialize(totals.stock_day_sums(until(tables, as_of)), "stock_day_sums")
@@ -192,6 +227,9 @@ def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root:
         day_sums = day_sums.filter(F.col("day") <= F.lit(as_date(as_of)))
     done = []
     for name in names:
+        if name in published:
+            done.append(name)
+            continue
         seen = until(tables, as_of) if name in OVER_HISTORY else tables
         df = REPORTS[name](seen, as_of, day_sums).withColumn("as_of", F.lit(as_date(as_of)))
         write_report(df, f"{out_root.rstrip('/')}/{name}", partition_by=["as_of"])
@@ -222,12 +260,15 @@ def main(argv: list[str] | None = None) -> None:
                     help="recompute only this many trailing days of day sums, and the days of files new since the last run")
     ap.add_argument("--changed-since", type=_utc, default=None,
                     help="also the days of stock files written since this time (ISO, UTC unless it has an offset)")
+    ap.add_argument("--kept", default=None,
+                    help="folder of kept tables: period reports as versions, the latest plan; replaces --day-sums-path")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("holdcast-daily").getOrCreate()
     paths = LakePaths(a.master, a.hierarchy, a.stock, a.plan_archive, a.orders,
                       a.master_format, a.orders_format)
     run_reports(spark, load_lake(spark, paths), a.as_of, a.out, a.reports.split(","),
-                a.day_sums_path, a.refresh_days, a.changed_since)
+                a.day_sums_path, a.refresh_days, a.changed_since,
+                Kept(a.kept, a.stock, a.plan_archive) if a.kept else None)
 
 
 if __name__ == "__main__":

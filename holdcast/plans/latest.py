@@ -123,3 +123,14 @@ def read_latest_plan(spark: SparkSession, root: str, version: int | None = None)
     if table is None:
         return spark.createDataFrame([], DEMAND_PLAN).select(*PLAN_KEYS, *PLAN_PAYLOAD)
     return table.select(*PLAN_KEYS, *PLAN_PAYLOAD)
+
+
+def read_latest_rows(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The kept rows as a demand plan: every metric that ranks a plan gives on them what it gives on the archive.
+
+    They lack UnitofMeasure (NULL). Sums over all snapshots, as the notebook's 90-day bias has them, need the archive.
+    """
+    table = Versions(spark, root).read(TABLE, version)
+    if table is None:
+        return spark.createDataFrame([], DEMAND_PLAN)
+    return conform(table.withColumn("UnitofMeasure", F.lit(None).cast("string")), DEMAND_PLAN)

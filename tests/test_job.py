@@ -169,3 +169,38 @@ def test_reports_of_an_old_date_see_nothing_later(spark, tables_small, tmp_path)
     for name, column in (("daily_share", "day"), ("wide_report", "day"), ("on_hand_metrics", "snapshot_date")):
         latest = spark.read.parquet(f"{out}/{name}").agg(F.max(F.to_date(column))).first()[0]
         assert latest == day, name
+
+
+def test_job_with_kept_tables(spark, tables_small, tmp_path):
+    """A second day costs the changed days; reports equal those of a job that keeps nothing."""
+    from holdcast.plans import periods
+    from holdcast.plans.versions import Versions
+    lake_root, out, plain = tmp_path / "lake", str(tmp_path / "kept_out"), str(tmp_path / "plain_out")
+    yesterday = AS_OF - dt.timedelta(days=1)
+    early = lambda df, c: df.filter(F.col(c) <= F.lit(yesterday))
+    t = tables_small
+    from dataclasses import replace
+    first = replace(t, batch_inventory=early(t.batch_inventory, "AvailableDate"), demand_plan=early(t.demand_plan, "SnapshotDate"))
+    paths = _lake(spark, first, lake_root)
+    kept = job.Kept(str(tmp_path / "state"), paths.stock, paths.plan_archive)
+    names = ["weekly_share", "daily_share", "wide_report", "bias_28d", "bias_90d", "doh_ratio", "holding_report"]
+    assert job.run_reports(spark, job.load_lake(spark, paths), yesterday, out, names, kept=kept) == names
+
+    t.batch_inventory.filter(F.col("AvailableDate") > F.lit(yesterday)).coalesce(1).write.mode("append").parquet(paths.stock)
+    t.demand_plan.filter(F.col("SnapshotDate") > F.lit(yesterday)).write.parquet(f"{paths.plan_archive}/{AS_OF:%Y/%m/%d}/apo_snp_35d")
+    lake = job.load_lake(spark, paths)
+    job.run_reports(spark, lake, AS_OF, out, names, kept=kept)
+    job.run_reports(spark, lake, AS_OF, plain, names)
+
+    changes = [r for r in Versions(spark, kept.periods).changes() if r["n"] == 2]
+    assert {r["part"] for r in changes if r["name"] == "day_sums"} == {AS_OF}
+    assert {r["part"] for r in Versions(spark, kept.latest_plan).changes() if r["n"] == 2 and r["name"] == "latest_plan"} == {AS_OF}
+    for name in names:
+        want = spark.read.parquet(f"{plain}/{name}").drop("as_of")
+        if name in periods.REPORTS:
+            got = periods.read_period(spark, kept.periods, name, as_of=AS_OF)
+        else:
+            got = spark.read.parquet(f"{out}/{name}").filter(F.col("as_of") == F.lit(AS_OF)).drop("as_of")
+        cut = lambda df: df.select([F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in sorted(df.dtypes)])
+        assert cut(got).count() == cut(want).count() > 0 and cut(got).exceptAll(cut(want)).count() == 0, name
+    assert not (tmp_path / "kept_out" / "weekly_share").exists()

@@ -178,3 +178,35 @@ def test_views_have_the_script_names(spark, tables_small):
     src.register_views(tables_small)
     for name in src.VIEW_NAMES.values():
         assert spark.table(name).columns
+
+
+def test_hierarchy_filter_comes_before_the_sums(spark, tables_small):
+    """Rows that reach the sums fall with the filter, and the result is that of filtering afterwards."""
+    from holdcast.operators import report
+    t = tables_small
+    rows = t.batch_inventory.count()
+
+    def summed(df):
+        """Rows that the semi join lets through to the first aggregate, in the final plan."""
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        found, todo = [], [plan]
+        while todo:
+            node = todo.pop()
+            todo += [getattr(node, name)() for name in ("finalPhysicalPlan", "plan") if node.nodeName() in {"AdaptiveSparkPlan"} and name == "finalPhysicalPlan"
+                     or name == "plan" and "QueryStage" in node.nodeName()]
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+            if "Join" in node.nodeName() and "LeftSemi" in node.verboseStringWithOperatorId():
+                found.append(node.metrics().apply("numOutputRows").value())
+        return found
+
+    for filters in ({"network": "AMBIENT"}, {"network": "AMBIENT", "division": "no such"}, {"location": 5001, "network": "CHILLED"}, {"material": "11000002"}, {}):
+        want = report.filter_holdings(report.weekly_with_hierarchy(t), **filters)
+        got = report.filtered_weekly(t, **filters)
+        cut = lambda df: df.select([F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+        assert got.columns == want.columns and got.count() == want.count()
+        assert cut(got).exceptAll(cut(want)).count() == 0
+    ambient = t.batch_inventory.join(t.material_hierarchy.filter("Network = 'AMBIENT'"), "MaterialID", "left_semi").count()
+    assert summed(report.filtered_weekly(t, network="AMBIENT")) == [ambient] and 0 < ambient < rows
+    assert summed(report.filtered_weekly(t, network="no such")) in ([0], [])

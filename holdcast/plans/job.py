@@ -29,7 +29,8 @@ from holdcast.operators import demand, holding, onhand, report, totals
 from holdcast.schemas import (BATCH_INVENTORY, DEMAND_PLAN, MATERIAL_HIERARCHY, MATERIAL_MASTER,
                               ORDER_TRACKING, Tables)
 from holdcast.plans import latest, periods
-from holdcast.plans.stage import materialize
+from holdcast.plans.stage import bucketed, co_partitioned
+from holdcast.plans.versions import NULL_FOLDER
 from holdcast.session import configure
 from holdcast.sources.tables import (read_current_partition, read_snapshot_archive, read_table,
                                      write_report)
@@ -93,9 +94,11 @@ OVER_HISTORY = NEEDS_DAY_SUMS | {"on_hand_metrics"}
 
 
 def until(tables: Tables, as_of: DateLike) -> Tables:
-    """``tables`` without stock snapshots taken after the as-of date."""
+    """``tables`` without stock snapshots taken after the as-of date. Rows without a snapshot time stay: they
+    are a period of their own in every report over history."""
     end = dt.datetime.combine(as_date(as_of) + dt.timedelta(days=1), dt.time())
-    return replace(tables, batch_inventory=tables.batch_inventory.filter(F.col("SnapshotDate") < F.lit(end)))
+    seen = F.col("SnapshotDate").isNull() | (F.col("SnapshotDate") < F.lit(end))
+    return replace(tables, batch_inventory=tables.batch_inventory.filter(seen))
 
 
 def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: DateLike,
@@ -107,7 +110,8 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
     reader can push down or prune on) and only those days' partitions are
     replaced, so a daily run costs the recent days, not the whole history.
     ``changed_since`` (UTC) adds the days of every stock file written after that time,
-    however old the days are, so late rows and corrections are seen as well.
+    however old the days are, so late rows and corrections are seen as well. Rows without a
+    snapshot time are a day of their own (NULL), recomputed by every run.
     Without ``refresh_days``, or when ``path`` holds nothing yet, every day is recomputed.
     A day of the window, or of a full refresh any day, that no longer has a
     batch row loses its partition.
@@ -121,7 +125,7 @@ def refresh_day_sums(spark: SparkSession, tables: Tables, path: str, as_of: Date
     if refresh_days is not None and exists:
         start = dt.datetime.combine(as_date(as_of) - dt.timedelta(days=refresh_days), dt.time())
         end = dt.datetime.combine(as_date(as_of) + dt.timedelta(days=1), dt.time())
-        wanted = (F.col("SnapshotDate") >= F.lit(start)) & (F.col("SnapshotDate") < F.lit(end))
+        wanted = F.col("SnapshotDate").isNull() | (F.col("SnapshotDate") >= F.lit(start)) & (F.col("SnapshotDate") < F.lit(end))
         if changed_since is not None:
             wanted = wanted | F.to_date("SnapshotDate").isin(_days_of_files(rows, changed_since))
         rows = rows.filter(wanted)
@@ -184,12 +188,12 @@ def _days_of_files(rows: DataFrame, since: dt.datetime) -> list[dt.date]:
 
 
 def _drop_empty_days(spark: SparkSession, sums: DataFrame, path: str, as_of: DateLike, refresh_days: int) -> None:
-    """Delete the window's partitions for which ``sums`` has no row (at most ``refresh_days`` + 1 of them)."""
+    """Delete the window's partitions for which ``sums`` has no row (at most ``refresh_days`` + 2 of them)."""
     present = {r["day"] for r in sums.select("day").distinct().collect()}
-    for back in range(refresh_days + 1):
-        day = as_date(as_of) - dt.timedelta(days=back)
+    for day in [None, *(as_date(as_of) - dt.timedelta(days=back) for back in range(refresh_days + 1))]:
         if day not in present:
-            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/day={day.isoformat()}")
+            name = NULL_FOLDER if day is None else day.isoformat()
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/day={name}")
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
@@ -222,9 +226,11 @@ def run_reports(spark: SparkSession, tables: Tables, as_of: DateLike, out_root:
     elif day_sums_path and NEEDS_DAY_SUMS.intersection(names):
         day_sums = keep_day_sums(spark, tables, day_sums_path, as_of, refresh_days, changed_since)
     elif len(NEEDS_DAY_SUMS.intersection(names)) > 1:
-        day_sums = materialize(totals.stock_day_sums(until(tables, as_of)), "stock_day_sums")
-    if day_sums is not None:
-        day_sums = day_sums.filter(F.col("day") <= F.lit(as_date(as_of)))
+        day_sums = totals.stock_day_sums(until(tables, as_of))
+    if day_sums is not None and NEEDS_DAY_SUMS.intersection(names) - published:
+        # The reports join and window day sums by key: in buckets of the keys they are moved once, here.
+        co_partitioned(spark)
+        day_sums = bucketed(day_sums.filter(F.col("day").isNull() | (F.col("day") <= F.lit(as_date(as_of)))), "day_sums", totals.KEYS)
     done = []
     for name in names:
         if name in published:

@@ -204,3 +204,19 @@ def test_job_with_kept_tables(spark, tables_small, tmp_path):
         cut = lambda df: df.select([F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in sorted(df.dtypes)])
         assert cut(got).count() == cut(want).count() > 0 and cut(got).exceptAll(cut(want)).count() == 0, name
     assert not (tmp_path / "kept_out" / "weekly_share").exists()
+
+
+def test_rows_without_a_snapshot_time_are_kept_and_refreshed(spark, tables_small, tmp_path):
+    """They are a day of their own in every report over history, and a partial refresh sees new ones."""
+    from dataclasses import replace
+    stock, sums, t = str(tmp_path / "stock"), str(tmp_path / "sums"), tables_small
+    undated = t.batch_inventory.limit(20).withColumn("SnapshotDate", F.lit(None).cast("timestamp"))
+    t.batch_inventory.write.parquet(stock)
+    lake = lambda: replace(t, batch_inventory=spark.read.parquet(stock))
+    job.run_reports(spark, lake(), AS_OF, str(tmp_path / "a"), ["daily_share", "weekly_share"], day_sums_path=sums)
+    undated.write.mode("append").parquet(stock)
+    job.run_reports(spark, lake(), AS_OF, str(tmp_path / "a"), ["daily_share", "weekly_share"], day_sums_path=sums, refresh_days=1)
+    job.run_reports(spark, lake(), AS_OF, str(tmp_path / "b"), ["daily_share", "weekly_share"])
+    for name in ("daily_share", "weekly_share"):
+        a, b = (spark.read.parquet(str(tmp_path / x / name)) for x in "ab")
+        assert a.count() == b.count() and a.filter("day is null" if name == "daily_share" else "year is null").count() > 0

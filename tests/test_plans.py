@@ -210,3 +210,35 @@ def test_hierarchy_filter_comes_before_the_sums(spark, tables_small):
     ambient = t.batch_inventory.join(t.material_hierarchy.filter("Network = 'AMBIENT'"), "MaterialID", "left_semi").count()
     assert summed(report.filtered_weekly(t, network="AMBIENT")) == [ambient] and 0 < ambient < rows
     assert summed(report.filtered_weekly(t, network="no such")) in ([0], [])
+
+
+def test_wide_report_moves_no_day_sums(spark, tables_oracle):
+    """Day sums in buckets of (material, location): the bias join and the week window need no exchange of them."""
+    from holdcast.operators import report
+    from holdcast.plans.stage import bucketed, co_partitioned
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.requireAllClusterKeysForCoPartition")}
+    plain = report.wide_report_aligned(tables_oracle, AS_OF)
+    sums = bucketed(totals.stock_day_sums(tables_oracle), "test_day_sums", totals.KEYS, 8)
+    try:
+        co_partitioned(spark)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")     # the master is broadcast, the bias rows are not
+        df = report.wide_report_aligned(tables_oracle, AS_OF, day_sums=sums)
+        rows = df.count()
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    assert any("SortMergeJoin [material_id" in x for x in lines) and any("Window" in x for x in lines)
+    scans = [i for i, x in enumerate(lines) if "test_day_sums" in x and "FileScan" in x]
+    assert scans
+    for i in scans:
+        at, above = depth(lines[i]), []
+        for x in reversed(lines[:i]):
+            if depth(x) < at:
+                at = depth(x)
+                above.append(x)
+                if "HashAggregate" in x:           # day or week totals from here on: partial sums, not day sums
+                    break
+        assert not [x for x in above if "Exchange hashpartitioning" in x or "Exchange Round" in x], above
+    assert rows == plain.count()

@@ -131,6 +131,7 @@ METRICS: dict[str, Callable[[Tables], DataFrame]] = {
     "bias_90d_range": lambda t: rolling.bias_90d_range(t, *rolling.span(AS_OF, 4)),
     # the tables as lake folders, read back; kept tables after several runs
     "lake_hierarchy_current": lake.hierarchy_current,
+    "lake_hierarchy_as_of": lake.hierarchy_as_of,
     "lake_plan_archive_days": lake.plan_archive_days,
     "lake_report_rewritten": lake.report_rewritten,
     "lake_stock_mixed": lake.stock_mixed,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdcast.functions.dates import on_day
-from holdcast.operators import totals
+from holdcast.operators import hierarchy, totals
 from holdcast.plans import latest, periods
 from holdcast.plans.stage import drop_at_end
 from holdcast.schemas import BATCH_INVENTORY, DEMAND_PLAN, MATERIAL_HIERARCHY, Tables
@@ -24,6 +24,9 @@ from holdcast.sources.tables import (read_current_partition, read_mixed_folders,
                                      write_report)
 
 LEAF = "apo_snp_35d"
+# Dates of the hierarchy's older copies with what differs in each, and the day from which the current one holds.
+COPIES = {dt.date(2024, 12, 18): 1, dt.date(2024, 12, 30): 2}
+CURRENT_FROM = dt.date(2025, 1, 8)
 # Fixed values shared with the oracle: the deliveries that a bounded archive read asks for.
 ARCHIVE_DAYS = (dt.date(2024, 12, 16), dt.date(2024, 12, 23), dt.date(2025, 1, 6))
 
@@ -60,6 +63,19 @@ def hierarchy_current(t: Tables) -> DataFrame:
     return read_current_partition(spark, root, schema=MATERIAL_HIERARCHY)
 
 
+def hierarchy_as_of(t: Tables) -> DataFrame:
+    """Daily inventory with the hierarchy of each day: two dated copies that differ, and the current one."""
+    spark = t.material_hierarchy.sparkSession
+    root = _folder(spark, "lake-hierarchy")
+    number = F.substring("MaterialID", -4, 4).cast("int")
+    for day, change in COPIES.items():
+        older = t.material_hierarchy.filter(number % 11 != change).withColumn(
+            "Division", F.when(number % 3 == change, F.concat(F.lit(f"{change} "), "Division")).otherwise(F.col("Division")))
+        older.write.parquet(f"{root}/Year={day.year}/Month={day.month}/Day={day.day}")
+    t.material_hierarchy.write.parquet(f"{root}/Year=9999/Month=12/Day=31")
+    return hierarchy.daily_with_hierarchy(t, hierarchy.read_hierarchy_copies(spark, root), dt.date(2024, 12, 16), AS_OF, CURRENT_FROM)
+
+
 def plan_archive_days(t: Tables) -> DataFrame:
     """Plan rows of three days of an archive."""
     spark = t.demand_plan.sparkSession

@@ -36,4 +36,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exactdedup.OP6_SQL,
         "op9_topk": topk.OP9_SQL,
         "op11_centroids": clustering.OP11_SQL,
+        "op12_spelling": spelling.OP12_SQL,
+        "op13_suffixes": suffixes.OP13_SQL,
     }

@@ -286,3 +286,45 @@ def variants(docs: DataFrame, ratio: int = RATIO) -> DataFrame:
 def op12_spelling(documents: DataFrame) -> DataFrame:
     """The contract's rows: ``variants`` with the production parameters."""
     return variants(documents)
+
+
+# CRC-32 from its polynomial, a byte at a time; code points below 256 are one or two bytes of UTF-8.
+OP12_SQL = f"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), n)) AS steps),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+counted AS MATERIALIZED (
+  SELECT doc, run, count(*) AS n FROM runs WHERE length(run) >= {LEAST_LENGTH} GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(flatten(list_transform(string_split(doc || ':' || run, ''), lambda x:
+      CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM counted, crc),
+slipped AS (
+  SELECT CASE WHEN h % {SLIP} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= {LEAST_LENGTH}
+  GROUP BY word HAVING sum(n) >= {LEAST_COUNT}),
+shorter AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+pairs AS (
+  SELECT s.word AS a, w.word AS b FROM shorter s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest
+  UNION SELECT s.word, t.word FROM shorter s JOIN shorter t ON t.rest = s.rest AND t.i = s.i AND t.word <> s.word),
+ranked AS (
+  SELECT p.a, p.b, w.n, count(*) OVER (PARTITION BY p.a) AS n_near FROM pairs p JOIN words w ON w.word = p.b
+  QUALIFY row_number() OVER (PARTITION BY p.a ORDER BY w.n DESC, p.b) = 1),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, CAST(coalesce(r.n_near, 0) AS BIGINT) AS n_near, CASE WHEN r.n >= {RATIO} * w.n THEN r.b END AS form,
+    CASE WHEN r.n >= {RATIO} * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.a = w.word),
+walk AS (
+  SELECT word, form AS place FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT k.word, f.form FROM walk k JOIN forms f ON f.word = k.place WHERE f.form IS NOT NULL),
+ends AS (SELECT k.word, k.place AS root FROM walk k JOIN forms f ON f.word = k.place WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(e.root, f.word) AS root, f.n, f.n_near, f.form_n
+FROM forms f LEFT JOIN ends e ON e.word = f.word"""

@@ -472,3 +472,27 @@ def remove_repeats(documents: DataFrame, bucket: int = BUCKET, bucket_contexts:
 def op13_suffixes(documents: DataFrame) -> DataFrame:
     """The contract's rows: ``remove_repeats`` with the production parameters."""
     return remove_repeats(documents)
+
+
+# Bytes as pairs of hexadecimal digits; every window of every text is a row.
+OP13_SQL = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, doc_id, i, substr(h, 2 * i + 1, {2 * WINDOW}) AS s
+  FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - {WINDOW - 1})) AS i FROM docs)),
+later AS (
+  SELECT r, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS LAST, i) > 1),
+edges AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {WINDOW} THEN 0 ELSE 1 END AS new FROM later),
+spans AS (
+  SELECT r, min(i) AS a, max(i) + {WINDOW} AS b
+  FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM edges) GROUP BY r, g),
+pieces AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS start FROM spans),
+joined AS (
+  SELECT d.r, any_value(d.doc_id) AS doc_id, any_value(d.h) AS h, count(p.a) AS n_spans, coalesce(sum(p.b - p.a), 0) AS n_removed,
+    coalesce(string_agg(substr(d.h, 2 * p.start + 1, 2 * (p.a - p.start)), '' ORDER BY p.a), '') AS kept, coalesce(max(p.b), 0) AS last
+  FROM docs d LEFT JOIN pieces p ON p.r = d.r GROUP BY d.r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+  sha256(unhex(kept || substr(h, 2 * last + 1))) AS kept_sha256
+FROM joined"""

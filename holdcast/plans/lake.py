@@ -125,14 +125,14 @@ def latest_plan_kept(t: Tables) -> DataFrame:
 
 
 def _kept_period(t: Tables, name: str) -> DataFrame:
-    """A kept report after three runs: most days, the last days, and late rows of a day long before."""
+    """A kept report after two runs: most days; then the last days, and late rows of a day long before."""
     spark, stock = t.batch_inventory.sparkSession, t.batch_inventory
     files, root = _folder(spark, "lake-stock"), _folder(spark, "lake-periods")
     recent = F.col("AvailableDate") >= F.lit(AS_OF - dt.timedelta(days=2))
     late = (F.col("Day") == 21) & on_day("AvailableDate", AS_OF, 17)
-    for rows in (stock.filter(~recent & ~late), stock.filter(recent), stock.filter(late)):
+    for rows in (stock.filter(~recent & ~late), stock.filter(recent | late)):
         rows.write.mode("append").parquet(files)
-        periods.refresh_periods(spark, t, files, root)
+        periods.refresh_periods(spark, t, files, root, names=(name,))
     return periods.read_period(spark, root, name)
 
 

@@ -101,10 +101,12 @@ def master_mark(tables: Tables) -> str:
 
 # ---- a run ----
 
-def refresh_periods(spark: SparkSession, tables: Tables, stock: str, root: str, as_of: DateLike | None = None) -> int:
+def refresh_periods(spark: SparkSession, tables: Tables, stock: str, root: str, as_of: DateLike | None = None,
+                    names: tuple[str, ...] = REPORTS) -> int:
     """Publish the day and week reports over the stock files under ``stock``; returns the version.
 
     ``tables`` has the master data; its stock is not read. Without a change the current version stays.
+    ``names`` are the reports that ``root`` keeps, the same in every run.
     """
     versions = Versions(spark, root)
     log = versions.read(FILES)
@@ -132,11 +134,11 @@ def refresh_periods(spark: SparkSession, tables: Tables, stock: str, root: str,
     report_days = None if repriced else days
     weeks = None if report_days is None else {monday(d) for d in report_days}
     for name, build in DAY_REPORTS.items():
-        if report_days is None or report_days:
+        if name in names and (report_days is None or report_days):
             draft.write(name, build(tables, day_sums=draft.read(DAY_SUMS, report_days)), "day", report_days)
     of_weeks = None if weeks is None else {None if m is None else m + dt.timedelta(days=i) for m in weeks for i in range(7)}
     for name, build in WEEK_REPORTS.items():
-        if weeks is None or weeks:
+        if name in names and (weeks is None or weeks):
             report = build(tables, day_sums=draft.read(DAY_SUMS, of_weeks))
             draft.write(name, report.withColumn("week_start", week_start(F.col("year"), F.col("week"))), "week_start", weeks)
     _log_files(spark, versions, draft, facts, gone)

@@ -45,7 +45,8 @@ MINIMUM = 1000
 FILE_BYTES = 256 << 20      # an archive is closed beyond this
 READ_BYTES = 4 << 20        # of one merged read
 GAP_BYTES = 64 << 10        # unread bytes that a merged read may bridge
-STRETCH = 32 << 20          # of a file that one task reads
+STRETCH = 8 << 20           # of a file that one task reads
+MOST_TASKS = 20_000         # beyond these, a task reads several stretches, one after another
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -182,8 +183,11 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], k) for c, k in kinds.items()],
                                                  names=list(kinds))
 
+    # Tasks are counted by the bytes to be read: the index is small, whatever the archives hold.
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = min(MOST_TASKS, max(1, -(-total // STRETCH)))
     stretch = F.floor(F.col("offset") / STRETCH)
-    return (index.select("file", "offset", "length").repartition(F.col("file"), stretch)
+    return (index.select("file", "offset", "length").repartition(tasks, F.col("file"), stretch)
             .sortWithinPartitions("file", "offset").mapInArrow(
                 run, "page_id bigint, url string, record_type string, payload_bytes bigint, "
                      "payload_digest string, refers_to bigint, payload binary"))

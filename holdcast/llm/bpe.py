@@ -46,6 +46,7 @@ COMMON = rf"[\t\n\r\x20-\x7e{LETTERS}\u00a1\u00ab\u00bb\u00bf\u2013-\u201d\u2026
 COMMON_PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\t\n\r 0-9{LETTERS}]+"
                   r"|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
 MEMORY = 1 << 19       # pre-tokens that a worker remembers
+REMEMBERED = 48        # characters of the longest of them, which bounds the memory's bytes
 PAIRS = 1 << 20        # compatibility answers that a worker remembers
 
 
@@ -214,9 +215,11 @@ class Encoder:
         return (common if plain.fullmatch(text) else full).findall(text)
 
     def _learn(self, word: str) -> bytes:
-        if len(self.memory) >= MEMORY:
-            self.memory.clear()
-        ids = self.memory[word] = np.array(self.word(word.encode()), np.uint32).tobytes()
+        ids = np.array(self.word(word.encode()), np.uint32).tobytes()
+        if len(word) <= REMEMBERED:
+            if len(self.memory) >= MEMORY:
+                self.memory.clear()
+            self.memory[word] = ids
         return ids
 
     def _piece(self, text: str) -> bytes:

@@ -166,6 +166,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     file = stash(file, "topk-file")
     queries = stash(rows.filter(is_query).distinct(), "topk-queries")
     blocks = -(-queries.count() * 5 // (QUERY_BLOCK * 4))       # a hash block stays below the limit
+    # Each block's answers are written before the next block is read, so one block at a time is in memory.
     found = [_scan(file, ranges, queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b), k)
              for b in range(blocks)]
     if not found:
@@ -179,14 +180,14 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
 
 
 def _scan(file: DataFrame, ranges: dict[int, np.ndarray], block: DataFrame, k: int) -> DataFrame:
-    """One scan of the approximation file for one block of queries; k rows per query and task."""
-    by_dim: dict[int, tuple[list, list]] = {}
-    for r in block.collect():                                   # at most QUERY_BLOCK rows
-        ids, vectors = by_dim.setdefault(len(r["vector"]), ([], []))
-        ids.append(r["vec_id"])
-        vectors.append(r["vector"])
-    shared = file.sparkSession.sparkContext.broadcast(
-        {dim: (np.array(ids, np.int64), np.array(v, np.int64)) for dim, (ids, v) in by_dim.items()})
+    """One scan of the approximation file for one block of queries; k rows per query and task, written."""
+    held = block.select("vec_id", F.size("vector").alias("dim"), "vector").toArrow().combine_chunks()   # at most QUERY_BLOCK rows
+    dims = held["dim"].to_numpy()
+    by_dim = {}
+    for dim in set(dims.tolist()):
+        part = held.filter(pa.array(dims == dim)).combine_chunks()
+        by_dim[dim] = (part["vec_id"].to_numpy(), _matrix(pa.concat_arrays(part["vector"].chunks), dim, np.int64))
+    shared = file.sparkSession.sparkContext.broadcast(by_dim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = {dim: Best(ids, vectors, k, np.abs(ranges[dim]).max(axis=1)) for dim, (ids, vectors) in shared.value.items()}
@@ -204,8 +205,9 @@ def _scan(file: DataFrame, ranges: dict[int, np.ndarray], block: DataFrame, k: i
                 [pa.array(b.ids[row]), pa.array(b.vec[row, place]), *_parts(b.score[row, place])],
                 names=[c.split()[0] for c in FOUND.split(", ")])
 
-    return file.select("vec_id", "dim", "vector", "cells").mapInArrow(
-        run, FOUND)
+    answers = stash(file.select("vec_id", "dim", "vector", "cells").mapInArrow(run, FOUND), "topk-answers")
+    shared.destroy()
+    return answers
 
 
 def op9_topk(embeddings: DataFrame) -> DataFrame:

@@ -54,19 +54,23 @@ def text_bytes(column: str = "text") -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with a content locator: the file and the row's place in it.
+    """row, file, position: a row's columns as one struct, and its content locator.
 
-    A DataFrame that is not a plain file scan is first written to the shared folder.
+    The locator is the file and the row's place in it. Columns inside the struct
+    may have any names; ``select("row.*")`` gives them back in their order. A
+    DataFrame that is not a plain file scan, or that has a column named like the
+    scan's metadata, is first written to the shared folder.
     """
-    def add(df: DataFrame) -> DataFrame:
-        return df.select("*", F.col("_metadata.file_path").alias("__file"),
-                         F.col("_metadata.row_index").alias("__position"))
-    try:
-        found = add(docs)
-        found.schema
-        return found
-    except AnalysisException:
-        return add(stash(docs, "located"))
+    rows = docs.select(F.struct("*").alias("row"))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position")]
+    if "_metadata" not in map(str.lower, docs.columns):
+        try:
+            found = docs.select(F.struct("*").alias("row"), *place)
+            found.schema
+            return found
+        except AnalysisException:
+            pass
+    return stash(rows, "located").select("row", *place)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int,

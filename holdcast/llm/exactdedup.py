@@ -94,12 +94,12 @@ class DedupStream:
         return changed.groupBy("digest").agg(F.max("n").alias("n"), F.max("stays").alias("stays"))
 
 
-def _rows(docs: DataFrame, digest) -> DataFrame:
-    text = text_bytes()
-    return located(docs.select("doc_id", "text")).select(
+def _rows(places: DataFrame, digest) -> DataFrame:
+    """digest, row (what SLIM holds), text of located documents."""
+    text = text_bytes("row.text")
+    return places.select(
         digest(text).alias("digest"),
-        F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("__file").alias("file"),
-                 F.col("__position").alias("position")).alias("row"),
+        F.struct(F.col("row.doc_id").cast("bigint").alias("doc_id"), "file", "position").alias("row"),
         text.alias("text"))
 
 
@@ -109,19 +109,23 @@ def exact_duplicates(docs: DataFrame, digest=sha256_of, folder: str | None = Non
     ``digest`` maps a text column to its state key; any function gives right
     groups, since equal digests are checked on full bytes.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
+    return _groups_of(located(docs.select("doc_id", "text")), digest, folder)
+
+
+def _groups_of(places: DataFrame, digest=sha256_of, folder: str | None = None) -> DataFrame:
+    spark = places.sparkSession
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/exactdedup-{uuid.uuid4().hex}"
-    rows = _rows(docs, digest)
+    rows = _rows(places, digest)
     stream = DedupStream(spark, folder)
     slim = stash(rows.select("digest", "row"), "exactdedup-slim")
     stream.add(slim)
     stream.advance()
-    groups = stream.groups()
-    # Full bytes: a digest that stands for one text only has lo = hi.
-    texts = rows.groupBy("digest", "text").agg(F.count("*").alias("n"), F.max("row").alias("stays"))
-    clashes = stash(texts.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1"), "exactdedup-clash")
     # Written first, so that the join deals both sides and may split a frequent digest.
-    found = slim.join(stash(groups, "exactdedup-groups"), "digest")
+    groups = stash(stream.groups(), "exactdedup-groups")
+    texts = rows.groupBy("digest", "text").count()
+    clashes = stash(texts.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1"), "exactdedup-clash")
+    found = slim.join(groups, "digest")
     if clashes.isEmpty():
         return found
     apart = rows.join(clashes, "digest", "left_semi")
@@ -132,12 +136,10 @@ def exact_duplicates(docs: DataFrame, digest=sha256_of, folder: str | None = Non
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every text, all columns as they were."""
-    columns = docs.columns
-    docs = located(docs)
-    kept = exact_duplicates(docs.select(*columns)).filter(F.col("row") == F.col("stays")).select(
-        F.col("row.file").alias("__kept_file"), F.col("row.position").alias("__kept_position"))
-    return docs.join(kept, (F.col("__file") == F.col("__kept_file"))
-                     & (F.col("__position") == F.col("__kept_position")), "left_semi").select(*columns)
+    prepare(docs.sparkSession)
+    places = located(docs)
+    kept = _groups_of(places).filter(F.col("row") == F.col("stays")).select("row.file", "row.position")
+    return places.join(kept, ["file", "position"], "left_semi").select("row.*")
 
 
 def op6_exact_dedup(docs: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdcast.llm.common import located, mix64, prepare, ranges, stash, text_bytes
 
@@ -40,6 +41,8 @@ MOST = 3               # times a source may be repeated
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 200_000
 CHUNK = 1 << 14        # slots that one row of the slot plan stands for
+TASK_SLOTS = 4 * CHUNK
+MOST_TASKS = 10_000
 SEED = 20240607
 
 
@@ -139,13 +142,13 @@ def draw(quota: np.ndarray, shards: int, seed: int = SEED) -> Iterator[np.ndarra
         yield got
 
 
-def records(docs: DataFrame) -> DataFrame:
-    """Slim rows: id, doc_id, source, size (words), and the content locator."""
-    text = text_bytes()
-    slim = located(docs.select("doc_id", "source", "text")).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
+def records(places: DataFrame) -> DataFrame:
+    """Slim rows of located documents: id, doc_id, source, size (words), and the content locator."""
+    text = text_bytes("row.text")
+    slim = places.select(
+        F.col("row.doc_id").cast("bigint").alias("doc_id"), F.col("row.source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), F.xxhash64(text).alias("content"),
-        F.col("__file").alias("file"), F.col("__position").alias("position"))
+        "file", "position")
     return stash(slim.withColumn("id", F.monotonically_increasing_id()), "mix-records")
 
 
@@ -160,11 +163,9 @@ def plan(recs: DataFrame, block: int = BLOCK, most: float = MOST) -> tuple[list[
 
 def slots(spark, shares: list[Share], block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
     """shard, source_no, slot, block, words: the blocks of the mix, by output shard."""
-    quota, first, rows = np.array([s.slots for s in shares], dtype=np.int64), np.zeros(len(shares), np.int64), []
+    quota, first, draws = np.array([s.slots for s in shares], dtype=np.int64), np.zeros(len(shares), np.int64), []
     for shard, got in enumerate(draw(quota, shards)):
-        for source in np.flatnonzero(got).tolist():
-            for at in range(0, int(got[source]), CHUNK):
-                rows.append((shard, source, int(first[source]) + at, min(CHUNK, int(got[source]) - at)))
+        draws += [(shard, i, int(first[i]), int(first[i] + got[i])) for i in np.flatnonzero(got).tolist()]
         first += got
     facts = {i: (s.blocks, s.size, s.slots, s.last) for i, s in enumerate(shares)}
 
@@ -181,11 +182,20 @@ def slots(spark, shares: list[Share], block: int = BLOCK, shards: int = SHARDS)
                      pa.array(slot), pa.array(at), pa.array(words)],
                     names=["shard", "source_no", "slot", "block", "words"])
 
-    plan_rows = spark.createDataFrame(rows, "shard int, source_no int, start bigint, n bigint")
-    return plan_rows.repartition("source_no", "start").mapInArrow(
+    # A row for each shard and source; the chunks they stand for are made and dealt out by Spark, into
+    # tasks counted by slots, as the plan's own bytes say nothing of what it becomes.
+    chunks = spark.createDataFrame(draws, "shard int, source_no int, begin bigint, end bigint").select(
+        "shard", "source_no", "end", F.explode(F.sequence("begin", F.col("end") - 1, F.lit(CHUNK).cast("bigint"))).alias("start"))
+    return chunks.select("shard", "source_no", "start", F.least(F.lit(CHUNK), F.col("end") - F.col("start")).alias("n")).repartition(
+        slot_tasks(int(quota.sum())), "source_no", "start").mapInArrow(
         run, "shard int, source_no int, slot bigint, block bigint, words bigint")
 
 
+def slot_tasks(slots: int) -> int:
+    """Tasks that list the slots: TASK_SLOTS each, more only beyond MOST_TASKS tasks (they stream by CHUNK)."""
+    return min(MOST_TASKS, max(1, -(-slots // TASK_SLOTS)))
+
+
 def segments(recs: DataFrame, names: list[str | None], block: int = BLOCK) -> DataFrame:
     """id, source_no, block, at, n, begin: the words of each document that lie in each block of its source.
 
@@ -229,7 +239,7 @@ def taken_segments(recs: DataFrame, names: list[str | None], shares: list[Share]
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``."""
     spark = prepare(docs.sparkSession)
-    recs = records(docs)
+    recs = records(located(docs.select("doc_id", "source", "text")))
     names, shares = plan(recs, block)
     taken = taken_segments(recs, names, shares, block).groupBy("id").agg(
         F.sum(F.col("times") * F.col("n") + F.col("part")).alias("taken"))
@@ -243,15 +253,14 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The mix as rows with the columns of ``docs``: what each pass takes of each document.
 
     A pass that takes a whole document gives its row unchanged. A pass that takes
-    part of it gives its taken words joined by single spaces (n_chars then
-    counts that text). Documents of which nothing is taken are not listed.
+    part of it gives its taken words joined by single spaces; n_chars then
+    counts that text if the column has a number or string type. Documents of which nothing is taken are not listed.
     """
     prepare(docs.sparkSession)
-    columns = docs.columns
-    docs = located(docs)
-    recs = records(docs.select(*columns))
+    places = located(docs)
+    recs = records(places)
     names, shares = plan(recs, block)
-    epochs = docs.sparkSession.createDataFrame([(i, s.epochs) for i, s in enumerate(shares)],
+    epochs = places.sparkSession.createDataFrame([(i, s.epochs) for i, s in enumerate(shares)],
                                                "source_no int, epochs int")
     found = taken_segments(recs, names, shares, block).join(epochs, "source_no")
     # Of a segment, ``epochs`` slots are whole passes; what is beyond them is the last pass.
@@ -259,22 +268,24 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     per_doc = found.groupBy("id").agg(
         F.first("epochs").alias("epochs"), F.sum(last).alias("rest"),
         F.sort_array(F.collect_list(F.when(last > 0, F.struct("begin", last.alias("n"))))).alias("pieces"))
-    chosen = recs.join(per_doc, "id").select(
-        F.col("file").alias("__at_file"), F.col("position").alias("__at_position"), F.col("size").alias("__size"),
-        F.col("epochs").alias("__epochs"), F.col("rest").alias("__rest"), F.col("pieces").alias("__pieces"))
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
-    partial = F.array_join(F.flatten(F.transform("__pieces", lambda p: F.slice(
-        F.col("__words"), (p["begin"] + 1).cast("int"), p["n"].cast("int")))), " ")
-    whole = F.col("__epochs") + F.when(F.col("__rest") == F.col("__size"), 1).otherwise(0)
-    has_part = (F.col("__rest") > 0) & (F.col("__rest") < F.col("__size"))
-    rows = docs.join(chosen, (F.col("__file") == F.col("__at_file")) & (F.col("__position") == F.col("__at_position")))
-    rows = rows.withColumn("__pass", F.explode(F.concat(
+    chosen = recs.join(per_doc, "id").select("file", "position", "size", "epochs", "rest", "pieces")
+    whole = F.col("epochs") + F.when(F.col("rest") == F.col("size"), 1).otherwise(0)
+    has_part = (F.col("rest") > 0) & (F.col("rest") < F.col("size"))
+    rows = places.join(chosen, ["file", "position"]).withColumn("partly", F.explode(F.concat(
         F.array_repeat(F.lit(False), whole.cast("int")), F.array_repeat(F.lit(True), has_part.cast("int")))))
-    rows = rows.withColumn("__words", F.when(F.col("__pass"), words)).withColumn(
-        "__text", F.when(F.col("__pass"), partial).otherwise(F.col("text")))
-    out = {"text": F.col("__text"), "n_chars": F.when(F.col("__pass"), F.length("__text").cast("bigint")).otherwise(
-        F.col("n_chars"))} if "n_chars" in columns else {"text": F.col("__text")}
-    return rows.select(*[out[c].alias(c) if c in out else F.col(c) for c in columns])
+    rows = rows.withColumn("words", F.when(F.col("partly"), F.regexp_extract_all(text_bytes("row.text"), F.lit(WORD), F.lit(0))))
+    taken = F.array_join(F.flatten(F.transform("pieces", lambda p: F.slice(
+        F.col("words"), (p["begin"] + 1).cast("int"), p["n"].cast("int")))), " ")
+    rows = rows.withColumn("taken", F.when(F.col("partly"), taken))
+    out = []
+    for name, kind in ((f.name, f.dataType) for f in docs.schema.fields):
+        value = F.col("row").getField(name)
+        if name == "text":
+            value = F.when(F.col("partly"), F.col("taken")).otherwise(value)
+        elif name == "n_chars" and isinstance(kind, (T.NumericType, T.StringType)):
+            value = F.when(F.col("partly"), F.length("taken").try_cast(kind)).otherwise(value)
+        out.append(value.alias(name))
+    return rows.select(*out)
 
 
 def op10_mixing(docs: DataFrame) -> DataFrame:

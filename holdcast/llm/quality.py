@@ -155,12 +155,12 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     any_ = _sample(known, unlabelled).withColumn("trusted", F.lit(0))
     chosen = stash(one.unionByName(any_).groupBy("doc_id").agg(
         F.max("trusted").alias("trusted"), F.min("trusted").alias("other")), "quality-sample")
-    rows = located(docs.select("doc_id", "text")).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = located(docs.select("doc_id", "text")).select(
+        F.col("row.doc_id").cast("bigint").alias("doc_id"), "row.text", "file", "position")
     # Of rows that repeat a doc_id the first by content locator: the sample bounds rows, not only doc_ids.
     first = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "trusted", "other").agg(
-        F.min(F.struct("__file", "__position")).alias("at")).select(
-        "trusted", "other", F.col("at.__file").alias("__file"), F.col("at.__position").alias("__position"))
-    texts = rows.join(F.broadcast(first), ["__file", "__position"]).select(
+        F.min(F.struct("file", "position")).alias("at")).select("trusted", "other", "at.file", "at.position")
+    texts = rows.join(F.broadcast(first), ["file", "position"]).select(
         "doc_id", text_bytes().alias("text"), "trusted", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

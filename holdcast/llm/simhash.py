@@ -232,17 +232,16 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
 
     The row with the least doc_id stays, of several the first by content locator; a NULL doc_id is greater than any other.
     """
-    columns = docs.columns
-    docs = located(docs)
+    prepare(docs.sparkSession)
+    places = located(docs)
     # Rows are told apart by a number of their own, so that nulls and repeated ids are rows like any other.
-    numbered = stash(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.col("__file").alias("file"), F.col("__position").alias("position")).alias("row")), "simhash-numbered")
+    numbered = stash(places.select(F.monotonically_increasing_id().alias("doc_id"), "row.text", F.struct(
+        F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").cast("bigint").alias("doc_id"),
+        "file", "position").alias("row")), "simhash-numbered")
     found = near_duplicates(numbered.select("doc_id", "text"), shingle, radius).select("doc_id", "component_id")
     first = found.join(numbered.select("doc_id", "row"), "doc_id").groupBy("component_id").agg(F.min("row").alias("row"))
-    kept = first.select(F.col("row.file").alias("__kept_file"), F.col("row.position").alias("__kept_position"))
-    return docs.join(kept, (F.col("__file") == F.col("__kept_file"))
-                     & (F.col("__position") == F.col("__kept_position")), "left_semi").select(*columns)
+    kept = first.select("row.file", "row.position")
+    return places.join(kept, ["file", "position"], "left_semi").select("row.*")
 
 
 def op1_simhash(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ import subprocess
 import sys
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from holdcast.llm import mixing, quality, simhash
 from holdcast.llm.common import stash, table
@@ -46,3 +48,22 @@ def test_entry_works_without_these_operators():
             "import __spark_entry__ as e; assert 'holding_report' in e.queries() and 'op1_simhash' not in e.queries(); "
             "assert set(e.queries()) == set(e.oracle_sql())")
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_stages_take_columns_of_any_name(spark):
+    docs = table(spark, SF, "documents")
+    names = ["__file", "__position", "_metadata", "__kept_file", "__at_file", "__size", "file", "position", "row", "size",
+             "words", "pieces", "partly", "taken", "id", "digest", "a.b"]
+    odd = docs
+    for i, name in enumerate(names):
+        odd = odd.withColumn(name, F.concat(F.lit(f"{i}:"), F.col("doc_id").cast("string")))
+    odd = stash(odd.withColumn("n_chars", F.lit("many")), "test-odd")
+    stages = dict(corpus_pipeline.STAGES)
+    plain = docs
+    for stage in ("quality", "exact_dedup", "near_dedup", "mixing"):
+        odd, plain = stash(stages[stage](spark, odd, SF), "test-odd"), stash(stages[stage](spark, plain, SF), "test-plain")
+        assert odd.columns == [*docs.columns, *names]
+        got = odd.collect()
+        assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((r["doc_id"], r["text"]) for r in plain.collect())
+        assert all(r[name] == f"{i}:{r['doc_id']}" for r in got for i, name in enumerate(names))
+    assert stages["tokens"](spark, odd, SF).count() == odd.count()

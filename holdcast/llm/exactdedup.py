@@ -9,10 +9,13 @@ task. State, offsets and commits live in the stream's checkpoint folder, so a
 lost executor or a restarted driver goes on where the last commit was, and
 documents that arrive later only meet the state.
 
-Digest hits are checked on full bytes: rows are also grouped by digest and
-whole text (each distinct text is shuffled once per task), and where
-a digest turns out to stand for several texts, the byte-level groups replace
-the state's group.
+Digest hits are checked on full bytes: the texts of digests that came more than
+once are grouped by digest and whole text (each distinct text is shuffled once
+per task), and where a digest turns out to stand for several texts, the
+byte-level groups replace the state's group. Rows of other digests are left out
+by a bitmap of FILTER_BITS bits (8 MB, broadcast), which may let a few of them
+through, at no harm. Beyond tens of millions of repeated texts it lets most rows
+through, and the check then costs a grouping of all texts.
 
 Defined cases: NULL text counts as empty; texts are equal only if all their
 bytes are; of rows with the same text and the same doc_id the one with the
@@ -42,6 +45,7 @@ STATE = {
     # Else every state partition reserves 4 MB for a list of files that takes 1 KB.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
+FILTER_BITS = 1 << 26
 #: What identifies a row and says where its content is.
 SLIM = T.StructType([
     T.StructField("digest", T.StringType()),
@@ -103,6 +107,19 @@ def _rows(places: DataFrame, digest) -> DataFrame:
         text.alias("text"))
 
 
+def possible_hits(rows: DataFrame, digests: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` whose digest is one of ``digests``, and the few others that share its bit."""
+    place = F.pmod(F.xxhash64("digest"), F.lit(bits))
+    set_bits = digests.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("set_bits"))
+    # At most ``bits`` / 32,768 rows of 4 KB.
+    placed = rows.withColumn("place", place).withColumn("bucket", F.bitmap_bucket_number("place")).withColumn(
+        "bit", F.bitmap_bit_position("place"))
+    byte = "cast(conv(hex(substring(set_bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return placed.join(F.broadcast(set_bits), "bucket").filter(
+        F.expr(f"getbit({byte}, cast(bit % 8 as int)) = 1")).select(*rows.columns)
+
+
 def exact_duplicates(docs: DataFrame, digest=sha256_of, folder: str | None = None) -> DataFrame:
     """One row per row of ``docs``: row, digest, n (rows of its text), stays (the row that stays).
 
@@ -123,7 +140,7 @@ def _groups_of(places: DataFrame, digest=sha256_of, folder: str | None = None) -
     stream.advance()
     # Written first, so that the join deals both sides and may split a frequent digest.
     groups = stash(stream.groups(), "exactdedup-groups")
-    texts = rows.groupBy("digest", "text").count()
+    texts = possible_hits(rows, groups.filter("n > 1")).groupBy("digest", "text").count()
     clashes = stash(texts.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1"), "exactdedup-clash")
     found = slim.join(groups, "digest")
     if clashes.isEmpty():

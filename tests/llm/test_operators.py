@@ -499,3 +499,35 @@ def test_slices_cut_long_batches():
     parts = list(common.slices(iter([batch]), 0, limit=20))
     assert [p.num_rows for p, _, _ in parts] == [2, 1, 1]
     assert b"".join(d.tobytes() for _, d, _ in parts) == "".join(texts).encode()
+
+
+def test_slots_are_listed_by_many_tasks(spark):
+    shares = [mixing.share_of(0, 256 * 300_000, 256 * 300_000.0), mixing.share_of(1, 1000, 500.0)]
+    listed = mixing.slots(spark, shares)
+    assert listed.rdd.getNumPartitions() == mixing.slot_tasks(300_002) == 5
+    got = {r["source_no"]: (r["n"], r["blocks"], r["words"]) for r in listed.groupBy("source_no").agg(
+        F.count("*").alias("n"), F.countDistinct("block").alias("blocks"), F.sum("words").alias("words")).collect()}
+    assert got == {0: (300_000, 300_000, 256 * 300_000), 1: (2, 2, 500)}
+    assert mixing.slot_tasks(1 << 60) == mixing.MOST_TASKS
+
+
+def test_archives_are_read_by_tasks_counted_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "STRETCH", 1000)
+    index = spark.createDataFrame([("a", 500 * i, 500) for i in range(100)], "file string, offset bigint, length bigint")
+    assert warc.read_records(index, "/nowhere").rdd.getNumPartitions() == 50
+
+
+def test_hit_bitmap_keeps_every_hit(spark):
+    rows = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), "id")
+    hits = rows.filter("id % 50 = 7")
+    got = {r["id"] for r in exactdedup.possible_hits(rows, hits.select("digest")).collect()}
+    assert set(range(7, 5000, 50)) <= got and len(got) < 110
+    assert exactdedup.possible_hits(rows, hits.select("digest"), bits=1 << 15).columns == rows.columns
+    assert exactdedup.possible_hits(rows, hits.limit(0)).count() == 0
+
+
+def test_encoder_does_not_remember_long_pre_tokens():
+    encoder = bpe.Encoder(bpe.encoder(bpe.tokenizer_path()).v)
+    word = "".join(chr(97 + i * i % 26) for i in range(5000))
+    assert (encoder.encode(f"{word} and {word}") == encoder.encode(f"{word} and {word}")).all()
+    assert encoder.memory and max(map(len, encoder.memory)) <= bpe.REMEMBERED

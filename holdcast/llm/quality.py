@@ -51,6 +51,7 @@ _CLASS[_marks] = 7 + np.arange(len(_marks))
 CLASSES = 7 + len(_marks)
 PAIRS = 192            # class pairs hash to so many features
 EXTRA = 8
+CLIP = 8.0             # deviations beyond which a feature counts no further, in fitting and scoring alike
 FEATURES = CLASSES + PAIRS + EXTRA
 _PAIR = (mix64(np.arange(CLASSES * CLASSES, dtype=np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
 _WORD, _RUN = Rolling(0x9E3779B97F4A7C15), Rolling(0xC2B2AE3D27D4EB4F)
@@ -102,10 +103,15 @@ class Model:
     bias: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = ((x - self.centre) / self.scale) @ self.weight + self.bias
+        z = standardised(x, self.centre, self.scale) @ self.weight + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def standardised(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """The features a model is fitted on and scores with."""
+    return np.clip((x - centre) / scale, -CLIP, CLIP)
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE,
         ridge: float = RIDGE) -> Model:
     """Minimise the non-negative unbiased risk by Adam over all given rows."""
@@ -115,7 +121,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
         return Model(zero, zero + 1, zero, float(np.log(odds / (1 - odds))))
     centre, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0)
     scale = np.where(scale < 1e-6, 1.0, scale)
-    add = lambda x: np.c_[np.clip((x - centre) / scale, -8, 8), np.ones(len(x))]
+    add = lambda x: np.c_[standardised(x, centre, scale), np.ones(len(x))]
     p, u = add(positive), add(unlabelled)
     weight, first, second = np.zeros(p.shape[1]), np.zeros(p.shape[1]), np.zeros(p.shape[1])
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))

@@ -531,3 +531,14 @@ def test_encoder_does_not_remember_long_pre_tokens():
     word = "".join(chr(97 + i * i % 26) for i in range(5000))
     assert (encoder.encode(f"{word} and {word}") == encoder.encode(f"{word} and {word}")).all()
     assert encoder.memory and max(map(len, encoder.memory)) <= bpe.REMEMBERED
+
+
+def test_quality_scores_with_the_features_it_was_fitted_on():
+    rng = np.random.default_rng(8)
+    positive, unlabelled = rng.normal(1, 1, (50, quality.FEATURES)), rng.normal(0, 1, (200, quality.FEATURES))
+    model = quality.fit(positive, unlabelled, 0.3, steps=20)
+    far = unlabelled[:5] + 1e6 * np.sign(rng.normal(size=(5, quality.FEATURES)))
+    at_border = model.centre + model.scale * quality.CLIP * np.sign(far - model.centre)
+    assert np.allclose(model.score(far), model.score(at_border))
+    seen = np.c_[quality.standardised(unlabelled, model.centre, model.scale), np.ones(200)] @ np.r_[model.weight, model.bias]
+    assert np.allclose(model.score(unlabelled), 1 / (1 + np.exp(-seen)))

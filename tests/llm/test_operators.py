@@ -212,15 +212,61 @@ def test_op4_learns_and_handles_awkward_rows(spark, docs, none):
     assert {r["score"] for r in quality.op4_quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
-def test_op4_fits_one_row_of_a_doc_id(spark, monkeypatch):
+def test_op4_fits_one_row_of_a_doc_id_and_all_documents(spark, monkeypatch):
     common.prepare(spark)
     ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5]
     labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, quality int")
-    docs = spark.createDataFrame([(k, f"text {k} {n}") for k in ids + [1000] for n in range(50)], "doc_id long, text string")
-    seen = []
-    monkeypatch.setattr(quality, "fit", lambda p, u, prior: seen.extend([len(p), len(u)]))
-    quality.train(docs.repartition(4), labels)
-    assert seen == [sum(k % 2 for k in ids), len(ids)]
+    docs = spark.createDataFrame([(k, f"text {k} {n}") for k in ids + [1000, None] for n in range(50)],
+                                 "doc_id long, text string")
+    seen, whole = [], quality.totals
+    monkeypatch.setattr(quality, "minimise", lambda p, *a: seen.append(len(p)) or np.zeros(p.shape[1]))
+    monkeypatch.setattr(quality, "totals", lambda v, part: seen.append(v.count()) or whole(v, part))
+    quality.train(quality.content(docs.repartition(4)), labels)
+    good, all_ = sum(k % 2 for k in ids), docs.count()
+    assert [seen[0], *seen[2:]] == [all_, all_, good, all_] and 0 < seen[1] < good
+
+
+def test_op4_unlabelled_documents_teach(spark):
+    # Only the texts without a label differ between the two tables; negative labels are never read.
+    common.prepare(spark)
+    rng = np.random.default_rng(4)
+    plain = lambda: " ".join("".join(rng.choice(list("abcde"), 5)) for _ in range(30))
+    junk = lambda: "".join(rng.choice(list("#$%0123"), 180))
+    good = [(k, plain()) for k in range(400)]
+    web = [(1000 + k, junk() if k % 2 else plain()) for k in range(1200)]
+    labels = spark.createDataFrame([(k, 1) for k in range(0, 400, 2)], "doc_id long, quality int")
+    docs = spark.createDataFrame(good + web, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["predicted"] for r in quality.op4_quality(docs, labels).collect()}
+    assert np.mean([got[1000 + k] != k % 2 for k in range(1200)]) > 0.98
+    assert np.mean([got[k] for k in range(400)]) > 0.98
+    negative = labels.unionByName(spark.createDataFrame([(1000 + k, 0) for k in range(600)], "doc_id long, quality int"))
+    assert {r["doc_id"]: r["predicted"] for r in quality.op4_quality(docs, negative).collect()} == got
+    moved = quality.op4_quality(docs.filter("doc_id < 1000 or doc_id % 2 = 0"), labels).agg(F.avg("score")).first()[0]
+    assert moved > 0.8 > quality.op4_quality(docs, labels).agg(F.avg("score")).first()[0]
+
+
+def test_op4_fit_on_spark_equals_the_fit_in_memory(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = common.table(spark, d, "documents"), common.table(spark, d, "labels")
+    vectors = quality.content(docs)
+    model = quality.train(vectors, labels)
+    again = quality.train(vectors.repartition(13), labels)
+    rows = vectors.collect()
+    x = quality._matrix(rows)
+    taught = {r["doc_id"] for r in labels.filter("quality = 1").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    prior = float(np.mean(model.score(x)))
+    brute = quality.fit(x[[r["doc_id"] in taught for r in rows]], x, prior)
+    assert np.abs(model.score(x) - brute.score(x)).max() < 0.02
+    assert np.abs(model.score(x) - again.score(x)).max() < 1e-4
+    assert abs(prior - 0.855) < 0.03      # the share of good documents among the labels, which training does not see
+
+
+def test_best_bin_finds_the_share():
+    p, u = np.zeros(100), np.zeros(100)
+    p[80:], u[80:], u[:40] = 50, 600, 700      # 12,000 like the positives, 28,000 that are not
+    assert abs(quality.best_bin(p, u) - 0.3) < 0.02
+    assert abs(np.average(1 / (1 + np.exp(-((np.arange(100) + 0.5) / quality.BINS - quality.REACH) - quality.shift(u, 0.3))),
+                          weights=u) - 0.3) < 1e-6
 
 
 def test_op4_held_out_accuracy(spark):

@@ -6,10 +6,15 @@ table maps slots to shards. Rebalancing edits that map: it moves as few slots
 as it needs until shard sizes are near equal and stores the result as the next
 version; records never change their slot.
 
-A group of equal texts that holds more than 1 / PIECES of the rows or bytes
-would outweigh its shard. It is dealt over as many slots as it has such shares
-(by doc_id). At most 2 * PIECES groups can be that large, which bounds the
-broadcast; the slot map has SLOTS rows, which bounds what the driver sees.
+A group of equal texts stays in one slot unless shards of near equal bytes need it
+in parts. Only groups above 1 / PIECES of all bytes can be in the way. Each of these, fewer than PIECES, is
+dealt into pieces by doc_id and number of the copy, and pieces are weighed; then parts
+of at most a whole shard's mean, a half, a quarter, an eighth are tried, and the
+largest parts stay whose shards are as near to equal as those of the smallest.
+
+Nothing depends on the input's layout: equal rows are counted, then numbered. A slot's rows get their places in
+buckets of about BUCKET rows, so no task holds a slot of any number of rows. The slot map has SLOTS rows,
+which bounds what the driver sees.
 
 Defined cases: NULL text has no bytes and CRC 0; a record's size is its bytes
 plus OVERHEAD; a NULL doc_id is a record like any other; repeated rows are
@@ -22,7 +27,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdcast.llm.common import prepare, stash, text_bytes
@@ -32,30 +37,77 @@ SLOTS = 1 << 14
 OVERHEAD = 16
 PIECES = 320
 SHARDS = 40
+BUCKET = 1 << 18       # rows, about, that are put in order together
+COPIES = 1 << 16       # rows that one repeated row is written out to at a time
+NEAR = 0.01            # of the mean: shards within it are near equal
 MAP_SCHEMA = "version int, virtual_slot int, shard int"
 
 
 def records(docs: DataFrame) -> DataFrame:
-    """Slim rows: id (unique), doc_id, size, text_crc32, group (digest of the text)."""
+    """Slim rows: doc_id, copy (number among equal rows), size, text_crc32, group (digest of the text)."""
     text = text_bytes()
     slim = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("group"))
-    return stash(slim.withColumn("id", F.monotonically_increasing_id()), "shard-records")
+    keys = ["doc_id", "size", "text_crc32", "group"]
+    # A row that comes very often is written out by many tasks.
+    parts = slim.groupBy(*keys).agg(F.count("*").alias("n")).withColumn(
+        "start", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(COPIES))))
+    many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    often = parts.filter(F.col("n") > COPIES).repartition(many, "group", "doc_id", "start")
+    return stash(parts.filter(F.col("n") <= COPIES).unionByName(often).withColumn(
+        "copy", F.explode(F.sequence("start", F.least(F.col("n"), F.col("start") + COPIES) - 1))).select(*keys, "copy"),
+        "shard-records")
+
 
+def with_virtual_slots(recs: DataFrame, slots: int = SLOTS, pieces: int = PIECES, shards: int | None = None) -> DataFrame:
+    """``recs`` with virtual_slot: the text's hash, or several for groups in parts.
 
-def with_virtual_slots(recs: DataFrame, slots: int = SLOTS, pieces: int = PIECES) -> DataFrame:
-    """``recs`` with virtual_slot: the text's hash, or for very large groups several."""
-    whole = recs.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
-    groups = recs.groupBy("group").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
-    share = F.greatest(F.col("rows") * pieces / F.lit(max(1, whole["rows"])),
-                       F.col("bytes") * pieces / F.lit(max(1, whole["bytes"])))
-    # A group has no more parts than rows.
-    large = groups.select("group", F.least(F.ceil(share), F.col("rows")).alias("parts")).filter(F.col("parts") > 1)
-    salt = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.lit("piece"), "doc_id", "id"), F.col("parts")))
-    return recs.join(F.broadcast(large), "group", "left").withColumn(
-        "virtual_slot", F.pmod(F.xxhash64("group", salt), F.lit(slots)).cast("int")).drop("parts", "group")
+    Groups are cut no more than ``shards`` of near equal bytes need; without ``shards``, as finely as ``pieces``.
+    """
+    spark = recs.sparkSession
+    whole = recs.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()["bytes"]
+    share = F.col("bytes") * pieces / F.lit(max(1, whole))
+    large = stash(recs.groupBy("group").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).filter(share > 1).select(
+        "group", F.least(F.ceil(share), F.col("rows")).alias("pieces")), "shard-large")        # fewer than ``pieces`` rows
+    cut = F.pmod(F.xxhash64(F.lit("piece"), "doc_id", "copy"), F.col("pieces")).cast("int")
+    tagged = recs.join(F.broadcast(large), "group", "left").withColumn(
+        "home", F.pmod(F.xxhash64("group"), F.lit(slots)).cast("int")).withColumn("piece", cut)
+    # At most one row a slot, and fewer than 2 * ``pieces`` pieces.
+    found = tagged.groupBy("home", F.when(F.col("pieces").isNotNull(), F.col("group")).alias("group"), "pieces", "piece").agg(
+        F.sum("size").alias("bytes")).collect()
+    base = np.zeros(slots)
+    for r in found:
+        if r["group"] is None:
+            base[r["home"]] += r["bytes"]
+    cuts = sorted((bytes(r["group"]), r["piece"], r["pieces"], r["home"], r["bytes"]) for r in found if r["group"] is not None)
+    size = {}
+    for group, _, _, _, weight in cuts:
+        size[group] = size.get(group, 0) + weight
+
+    def spread(parts_of: int | None) -> tuple[list[int], float]:
+        """Slots of all pieces when no part exceeds a shard's mean / parts_of, and how far shards then are from equal."""
+        at, weight = [], base.copy()
+        for group, piece, count, home, load in cuts:
+            parts = count if parts_of is None else min(count, -(-size[group] * shards * parts_of // whole))
+            at.append((home + piece * parts // count * 25) % slots)
+            weight[at[-1]] += load
+        if shards is None:
+            return at, 0.0
+        loads = np.bincount(rebalance(np.arange(slots) * shards // slots, weight, shards), weights=weight, minlength=shards)
+        return at, float(loads.max() - loads.min())
+
+    at, least = spread(None)
+    if shards is not None:
+        for parts_of in (1, 2, 4):
+            coarse, far = spread(parts_of)
+            if far <= max(least, NEAR * whole / shards):
+                at = coarse
+                break
+    plan = spark.createDataFrame([(bytearray(c[0]), c[1], int(slot)) for c, slot in zip(cuts, at)],
+                                 "group binary, piece int, planned int")
+    return tagged.join(F.broadcast(plan), ["group", "piece"], "left").withColumn(
+        "virtual_slot", F.coalesce("planned", "home")).drop("pieces", "piece", "home", "planned")
 
 
 def rebalance(shard_of: np.ndarray, weight: np.ndarray, shards: int) -> np.ndarray:
@@ -108,7 +160,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, folder: str
     Shards have near equal bytes.
     """
     spark = prepare(docs.sparkSession)
-    placed = stash(with_virtual_slots(records(docs), slots), "shard-placed")
+    placed = stash(with_virtual_slots(records(docs), slots, shards=shards), "shard-placed")
     totals = placed.groupBy("virtual_slot").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
     weight, rows = np.zeros(slots), np.zeros(slots, np.int64)
     for r in totals.collect():                                               # at most ``slots`` rows
@@ -125,11 +177,18 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, folder: str
     of_shard = np.bincount(shard_of, weights=rows, minlength=shards).astype(np.int64)
     begin -= (np.cumsum(of_shard) - of_shard)[shard_of]
     plan = spark.createDataFrame(
-        [(s, int(shard_of[s]), int(begin[s])) for s in range(slots)], "virtual_slot int, shard int, begin long")
-    from pyspark.sql import Window
-    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "id")) - 1
-    return placed.withColumn("place", place).join(F.broadcast(plan), "virtual_slot").select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("begin") + F.col("place")).alias("slot"),
+        [(s, int(shard_of[s]), int(begin[s]), int(rows[s] // BUCKET + 1)) for s in range(slots)],
+        "virtual_slot int, shard int, begin long, buckets int")
+    key = ["virtual_slot", "bucket"]
+    rows_of = placed.join(F.broadcast(plan), "virtual_slot").withColumn(
+        "bucket", F.pmod(F.xxhash64(F.lit("place"), "group", "doc_id", "copy"), F.col("buckets")).cast("int"))
+    order = Window.partitionBy(*key).orderBy("doc_id", "copy", "group")
+    # Rows of a slot's earlier buckets: the window holds one row for each BUCKET rows of the slot.
+    before = Window.partitionBy("virtual_slot").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = rows_of.groupBy(*key).agg(F.count("*").alias("n")).select(
+        *key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return rows_of.withColumn("place", F.row_number().over(order) - 1).join(first, key).select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("begin") + F.col("first") + F.col("place")).alias("slot"),
         "virtual_slot", F.lit(version).alias("map_version"))
 
 

@@ -199,6 +199,32 @@ def test_op3_small_table_with_a_large_group(spark):
     assert len(got) == 40 and max(got.values()) <= 9
 
 
+def test_op3_keeps_groups_whole_and_does_not_depend_on_layout(spark, monkeypatch):
+    common.prepare(spark)
+    rng = np.random.default_rng(2)
+    rows = [(k, "x" * int(rng.integers(50, 400)) + str(k)) for k in range(4000)]
+    rows += [(5000 + k, f"group {k % 30} " * 12) for k in range(600)]              # no group outweighs a shard
+    rows += [(None, "much " * 40)] * 900 + [(7, "much " * 40)] * 900               # this one does, several times
+    make = lambda n: spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+    keys = ("doc_id", "size", "text_crc32", "shard", "slot")
+    got = _bag(sharding.shard(make(3)), *keys)
+    monkeypatch.setattr(sharding, "BUCKET", 40)
+    monkeypatch.setattr(sharding, "COPIES", 100)
+    in_buckets = _bag(sharding.shard(make(11)), *keys)
+    assert Counter((k[0], k[2], k[3]) for k in got.elements()) == Counter((k[0], k[2], k[3]) for k in in_buckets.elements())
+    for bag in (got, in_buckets):
+        places, where, load = defaultdict(list), defaultdict(set), Counter()
+        for doc_id, size, crc, shard, slot in bag.elements():
+            places[shard].append(slot)
+            where[crc].add(shard)
+            load[shard] += size
+        assert all(sorted(p) == list(range(len(p))) for p in places.values()) and len(places) == 40
+        assert [c for c, s in where.items() if len(s) > 1] == [zlib.crc32(b"much " * 40)]
+        assert max(load.values()) - min(load.values()) < 0.03 * sum(load.values()) / 40
+    monkeypatch.undo()
+    assert _bag(sharding.shard(make(7)), *keys) == got
+
+
 def test_op4_learns_and_handles_awkward_rows(spark, docs, none):
     labels = spark.createDataFrame([(None, 1, 0), (3, None, 0), (6, 1, 0), (9, 0, 0), (12345, 1, 0), (9, 0, 0)],
                                    "doc_id long, quality int, score int")

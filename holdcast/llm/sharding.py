@@ -50,8 +50,8 @@ def records(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("group"))
     keys = ["doc_id", "size", "text_crc32", "group"]
-    # A row that comes very often is written out by many tasks.
-    parts = slim.groupBy(*keys).agg(F.count("*").alias("n")).withColumn(
+    # A row that comes very often is written out by many tasks. Counts are stored, so texts are read once.
+    parts = stash(slim.groupBy(*keys).agg(F.count("*").alias("n")), "shard-counts").withColumn(
         "start", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(COPIES))))
     many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     often = parts.filter(F.col("n") > COPIES).repartition(many, "group", "doc_id", "start")

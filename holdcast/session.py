@@ -3,13 +3,14 @@
 On a cluster the session comes from the platform; ``configure`` only sets what
 the metrics need for correct results (UTC) and what they assume for scale
 (AQE with skew-join splitting). ``checkpoint_dir`` reads the cluster's shared
-``spark.checkpoint.dir`` and only falls back to a given local folder when the
-setting is absent, as in tests.
+``spark.checkpoint.dir`` and only falls back to a given local folder, as in tests,
+or to the warehouse when the setting is absent.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +23,11 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Folder of intermediates in the warehouse; readers of tables skip names with an underscore.
+SCRATCH = "_holdcast"
+# (application, folder) known to be shared by all machines.
+_SHARED: set[tuple[str, str]] = set()
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
@@ -55,26 +61,43 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and materialised intermediates.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; sets ``fallback``
-    only when it is unset (local tests). Raises when neither exists, because a
-    machine-local temp folder is not visible to other executors. For the same
-    reason a ``file:`` folder is refused on a cluster, unless the session says
-    that it is a mount all machines share (``spark.holdcast.sharedMount=true``).
+    only when it is unset (local tests). When neither exists, a folder in the warehouse
+    (``spark.sql.warehouse.dir``) serves, where all tasks write tables anyway. A ``file:`` folder
+    on a cluster is a shared mount or each machine's own disk, which its name does not
+    tell: it is used if the driver sees what tasks write there, and refused otherwise
+    (``spark.holdcast.sharedMount=true`` skips that trial).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
-        _check_shared(sc, current)
+        _check_shared(spark, current)
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{SCRATCH}"
+        _check_shared(spark, current)
+        return current
     sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir() or fallback
 
 
-def _check_shared(sc, path: str) -> None:
-    local = path.startswith("file:") and not sc.master.startswith("local")
-    if local and sc.getConf().get("spark.holdcast.sharedMount", "false") != "true":
-        raise RuntimeError(f"spark.checkpoint.dir is {path}, which other machines cannot read; "
-                           "name a shared folder, or set spark.holdcast.sharedMount=true for a shared mount")
+def _check_shared(spark: SparkSession, path: str) -> None:
+    """Raise if tasks on other machines write to another ``path`` than the driver reads. Tried once a folder and application.
+
+    Without a shared folder a write succeeds with the driver's own machine's files only, so rows would be missing.
+    """
+    sc = spark.sparkContext
+    if not path.startswith("file:") or sc.master.startswith("local") or (sc.applicationId, path) in _SHARED:
+        return
+    if sc.getConf().get("spark.holdcast.sharedMount", "false") != "true":
+        tasks = 4 * sc.defaultParallelism            # some on every executor
+        place = f"{path.rstrip('/')}/holdcast-trial-{uuid.uuid4().hex}"
+        spark.range(0, tasks, 1, tasks).write.parquet(place)
+        found = spark.read.schema("id bigint").parquet(place).count()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if found != tasks:
+            raise RuntimeError(f"{path} is not shared by all machines: {tasks} tasks wrote a row each and {found} are seen; "
+                               "name a shared folder as spark.checkpoint.dir")
+    _SHARED.add((sc.applicationId, path))

@@ -32,9 +32,10 @@ ARCHIVE_DAYS = (dt.date(2024, 12, 16), dt.date(2024, 12, 23), dt.date(2025, 1, 6
 
 
 def _folder(spark: SparkSession, name: str) -> str:
+    """A folder yet to be written, in one of its own that goes when the application ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/holdcast-{name}-{uuid.uuid4().hex}"
     drop_at_end(spark, path)
-    return path
+    return f"{path}/files"
 
 
 def _delivery(day: Column) -> Column:

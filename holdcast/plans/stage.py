@@ -49,6 +49,11 @@ def co_partitioned(spark: SparkSession) -> None:
 
 
 def drop_at_end(spark: SparkSession, path: str) -> None:
-    """Have the file system delete ``path`` when the application ends; later jobs may read it until then."""
+    """Have the file system delete ``path`` when the application ends; later jobs may read it until then.
+
+    The folder is made if it is not there yet: a file system notes existing paths only.
+    """
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)

@@ -4,14 +4,17 @@ On a cluster the session comes from the platform; ``configure`` only sets what
 the metrics need for correct results (UTC) and what they assume for scale
 (AQE with skew-join splitting). ``checkpoint_dir`` reads the cluster's shared
 ``spark.checkpoint.dir`` and only falls back to a given local folder, as in tests,
-or to the warehouse when the setting is absent.
+or to the warehouse when the setting is absent or names a folder that tasks cannot use.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+import warnings
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings every run needs. UTC because DATE(ts), YEAR(ts) and the 06:00
@@ -64,40 +67,54 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     only when it is unset (local tests). When neither exists, a folder in the warehouse
     (``spark.sql.warehouse.dir``) serves, where all tasks write tables anyway. A ``file:`` folder
     on a cluster is a shared mount or each machine's own disk, which its name does not
-    tell: it is used if the driver sees what tasks write there, and refused otherwise
-    (``spark.holdcast.sharedMount=true`` skips that trial).
+    tell: it is used if the driver sees what tasks write there
+    (``spark.holdcast.sharedMount=true`` skips that trial). A named folder that fails the trial
+    gives way to the warehouse for the rest of the application; if that fails too, both are refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current and fallback is not None:
+        sc.setCheckpointDir(fallback)
+        return sc.getCheckpointDir() or fallback
+    refused = None
     if current:
-        _check_shared(spark, current)
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if fallback is None:
-        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{SCRATCH}"
-        _check_shared(spark, current)
-        return current
-    sc.setCheckpointDir(fallback)
-    return sc.getCheckpointDir() or fallback
-
-
-def _check_shared(spark: SparkSession, path: str) -> None:
-    """Raise if tasks on other machines write to another ``path`` than the driver reads. Tried once a folder and application.
+        refused = _refusal(spark, current)
+        if refused is None:
+            if not sc.getCheckpointDir():
+                sc.setCheckpointDir(current)
+            return current
+    warehouse = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{SCRATCH}"
+    again = _refusal(spark, warehouse)
+    if again is not None:
+        raise RuntimeError("; ".join(filter(None, [refused, again])) + "; name a shared folder as spark.checkpoint.dir")
+    if refused is None:
+        return warehouse
+    warnings.warn(f"{refused}; {warehouse} is used instead", stacklevel=2)
+    sc.setCheckpointDir(warehouse)
+    _SHARED.add((sc.applicationId, sc.getCheckpointDir()))
+    return sc.getCheckpointDir()
+
+
+def _refusal(spark: SparkSession, path: str) -> str | None:
+    """Why tasks on other machines cannot share ``path`` with the driver; None if they can. Success is remembered for the application.
 
     Without a shared folder a write succeeds with the driver's own machine's files only, so rows would be missing.
     """
     sc = spark.sparkContext
     if not path.startswith("file:") or sc.master.startswith("local") or (sc.applicationId, path) in _SHARED:
-        return
+        return None
     if sc.getConf().get("spark.holdcast.sharedMount", "false") != "true":
         tasks = 4 * sc.defaultParallelism            # some on every executor
         place = f"{path.rstrip('/')}/holdcast-trial-{uuid.uuid4().hex}"
-        spark.range(0, tasks, 1, tasks).write.parquet(place)
-        found = spark.read.schema("id bigint").parquet(place).count()
         folder = spark._jvm.org.apache.hadoop.fs.Path(place)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        if found != tasks:
-            raise RuntimeError(f"{path} is not shared by all machines: {tasks} tasks wrote a row each and {found} are seen; "
-                               "name a shared folder as spark.checkpoint.dir")
+        try:
+            spark.range(0, tasks, 1, tasks).write.parquet(place)
+            found = spark.read.schema("id bigint").parquet(place).count()
+            if found != tasks:
+                return f"{path} is not shared by all machines: {tasks} tasks wrote a row each and {found} are seen"
+        except (Py4JJavaError, PySparkException) as e:
+            return f"{path} cannot be written by all machines: {str(e).strip().splitlines()[0]}"
+        finally:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     _SHARED.add((sc.applicationId, path))
+    return None

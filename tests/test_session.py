@@ -1,7 +1,10 @@
 """The folder of intermediates: on a cluster, without a checkpoint folder, and where machines do not share it."""
 
+import re
+
 import pytest
 from pyspark import SparkConf
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrameWriter
 
 from holdcast import session
@@ -45,3 +48,38 @@ def test_without_a_checkpoint_folder_the_warehouse_serves(spark, tables_small, m
     rows = catalog.run_on("lake_hierarchy_current", tables_small)
     assert rows.count() == tables_small.material_hierarchy.count()
     assert all(f.startswith(f"file://{tmp_path}/_holdcast/") for f in rows.inputFiles())
+
+
+@pytest.mark.parametrize("fault", ["not shared", "not writable"])
+def test_a_named_folder_that_fails_gives_way_to_the_warehouse(cluster, tables_small, monkeypatch, tmp_path, fault):
+    named, warehouse = cluster.sparkContext.getCheckpointDir(), f"file:{tmp_path}"
+    real, conf = DataFrameWriter.parquet, type(cluster.conf).get
+
+    def write(self, path, *a, **b):
+        if path.startswith(f"{named}/holdcast-trial-"):
+            if fault == "not writable":
+                raise PySparkException("Mkdirs failed")
+            self = cluster.range(3).write                    # of the tasks, 3 wrote here
+        return real(self, path, *a, **b)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    monkeypatch.setattr(type(cluster.conf), "get", lambda self, key, *a: warehouse if key == "spark.sql.warehouse.dir" else conf(self, key, *a))
+    try:
+        with pytest.warns(UserWarning, match="used instead"):
+            rows = catalog.run_on("lake_hierarchy_current", tables_small)
+        assert rows.count() == tables_small.material_hierarchy.count()
+        assert all(f.startswith(f"file://{tmp_path}/_holdcast/") for f in rows.inputFiles())
+        monkeypatch.setattr(DataFrameWriter, "parquet", None)      # no further trial
+        assert session.checkpoint_dir(cluster).startswith(f"{warehouse}/_holdcast/")
+    finally:
+        cluster.sparkContext.setCheckpointDir(named)
+
+
+@pytest.mark.parametrize("name", ["lake_hierarchy_current", "lake_hierarchy_as_of", "lake_plan_archive_days", "lake_report_rewritten",
+                                  "lake_stock_mixed", "latest_plan_kept"])
+def test_the_folders_of_lake_queries_go_at_the_end(spark, tables_small, name):
+    found = catalog.run_on(name, tables_small).inputFiles()[0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(re.match(r".*/holdcast-lake-[a-z]+-[0-9a-f]{32}", found)[0])
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert fs.cancelDeleteOnExit(folder)                      # true if it was noted
+    fs.deleteOnExit(folder)

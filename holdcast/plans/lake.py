@@ -29,6 +29,8 @@ COPIES = {dt.date(2024, 12, 18): 1, dt.date(2024, 12, 30): 2}
 CURRENT_FROM = dt.date(2025, 1, 8)
 # Fixed values shared with the oracle: the deliveries that a bounded archive read asks for.
 ARCHIVE_DAYS = (dt.date(2024, 12, 16), dt.date(2024, 12, 23), dt.date(2025, 1, 6))
+# The delivery of rows without a snapshot date: a Monday before all others.
+UNDATED = dt.date(1900, 1, 1)
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -39,8 +41,8 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def _delivery(day: Column) -> Column:
-    """The Monday a snapshot is delivered under."""
-    return F.to_date(F.date_trunc("week", day))
+    """The Monday a snapshot is delivered under; ``UNDATED`` without a date."""
+    return F.coalesce(F.to_date(F.date_trunc("week", day)), F.lit(UNDATED))
 
 
 def _deliver(rows: DataFrame, root: str, days: list[dt.date]) -> None:
@@ -50,7 +52,7 @@ def _deliver(rows: DataFrame, root: str, days: list[dt.date]) -> None:
 
 
 def _mondays(plan: DataFrame) -> list[dt.date]:
-    """Mondays with a snapshot: one for each week of the calendar."""
+    """Mondays with a delivery: one for each week of the calendar."""
     return sorted(r["d"] for r in plan.select(_delivery(F.col("SnapshotDate")).alias("d")).distinct().collect())
 
 

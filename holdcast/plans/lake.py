@@ -99,11 +99,17 @@ def report_rewritten(t: Tables) -> DataFrame:
 
 
 def stock_mixed(t: Tables) -> DataFrame:
-    """The as-of day's stock from folders whose files disagree on types: dates as text, whole numbers narrower."""
+    """The as-of day's stock from folders whose files disagree on types: dates as text, whole numbers narrower.
+
+    Rows with a number that the narrower type cannot hold lie in the folder of the declared types.
+    """
     spark = t.batch_inventory.sparkSession
     root = _folder(spark, "lake-stock")
-    part = F.pmod(F.hash("MaterialID"), F.lit(3))
     stock = t.batch_inventory
+    day, blocked = F.col("Day"), F.col("InventoryStockBlocked")
+    fits = {1: day.isNull() | day.eqNullSafe(day.try_cast("smallint")), 2: blocked.isNull() | blocked.eqNullSafe(blocked.try_cast("int"))}
+    part = F.pmod(F.hash("MaterialID"), F.lit(3))
+    part = F.when((part == 1) & fits[1], 1).when((part == 2) & fits[2], 2).otherwise(0)
     stock.filter(part == 0).write.parquet(f"{root}/a")
     stock.filter(part == 1).withColumns({"AvailableDate": F.col("AvailableDate").cast("string"), "Day": F.col("Day").cast("smallint")}
                                         ).write.parquet(f"{root}/b")

@@ -3,7 +3,7 @@
 import math
 from collections import defaultdict
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
 from holdcast.operators import demand, holding
@@ -83,6 +83,7 @@ order_rows = st.lists(st.tuples(st.sampled_from([0, 1, 40]), st.sampled_from(["1
 
 @SETTINGS
 @given(plans=plan_rows, orders=order_rows)
+@example(plans=[(1, 2, "11000002", 2, 2, 1.0, 2.0), (1, 2, "11000002", 2, 2, 4.0, None)], orders=[(1, "11000002", 2.0)])
 def test_bias_28d_matches_line_level_definition(spark, plans, orders):
     p = [{"DATE": day(d), "LocationID": loc, "MaterialID": mat, "SnapshotDate": day(d + snap),
           "Modified_date": day(d + mod), "ConsensusDemandPlan": cdp, "SalesActualCustomerOrders": 1.0,
@@ -96,7 +97,9 @@ def test_bias_28d_matches_line_level_definition(spark, plans, orders):
     latest = {}
     for r in p:
         k = (r["DATE"], r["LocationID"], r["MaterialID"])
-        order = (r["SnapshotDate"], r["Modified_date"])
+        # Ties of the two dates as the SQL ranks them: larger quantities first, NULL last.
+        order = (r["SnapshotDate"], r["Modified_date"], r["ConsensusDemandPlan"], r["SalesActualCustomerOrders"],
+                 r["DependentDemand"] is not None, r["DependentDemand"] or 0.0)
         if k not in latest or order > latest[k][0]:
             latest[k] = (order, r)
     groups = defaultdict(lambda: [[], []])

@@ -60,9 +60,8 @@ def hierarchy_current(t: Tables) -> DataFrame:
     """The current partition of a hierarchy that has an older one as well."""
     spark = t.material_hierarchy.sparkSession
     root = _folder(spark, "lake-hierarchy")
-    old = t.material_hierarchy.withColumn("Division", F.lit("old")).withColumns({"Year": F.lit(2024), "Month": F.lit(1), "Day": F.lit(1)})
-    now = t.material_hierarchy.withColumns({"Year": F.lit(9999), "Month": F.lit(12), "Day": F.lit(31)})
-    old.unionByName(now).write.partitionBy("Year", "Month", "Day").parquet(root)
+    t.material_hierarchy.withColumn("Division", F.lit("old")).write.parquet(f"{root}/Year=2024/Month=1/Day=1")
+    t.material_hierarchy.write.parquet(f"{root}/Year=9999/Month=12/Day=31")      # a folder without rows too
     return read_current_partition(spark, root, schema=MATERIAL_HIERARCHY)
 
 

@@ -94,7 +94,7 @@ def report_rewritten(t: Tables) -> DataFrame:
     recent = F.col("day") >= F.lit(AS_OF - dt.timedelta(days=6))
     write_report(report.withColumn("clear_cases_daily", F.when(recent, F.lit(-1.0)).otherwise(F.col("clear_cases_daily"))), path, ["day"])
     write_report(report.filter(recent), path, ["day"])
-    return read_table(spark, path).select(report.columns)
+    return read_table(spark, path, written=report.schema).select(report.columns)
 
 
 def stock_mixed(t: Tables) -> DataFrame:

@@ -22,15 +22,19 @@ CURRENT_PARTITION = {"Year": 9999, "Month": 12, "Day": 31}
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None, base_path: str | None = None,
-               options: dict[str, str] | None = None) -> DataFrame:
+               options: dict[str, str] | None = None, written: T.StructType | None = None) -> DataFrame:
     """Read one table. ``fmt`` is any installed source ("parquet", "delta", ...).
 
     With a schema the footer-inferred types are cast to it and unused columns are
     pruned before the scan. ``base_path`` keeps partition columns when ``path``
     is a glob below the partition directories. ``options`` go to the reader
     (``header``/``inferSchema`` matter for CSV only; parquet ignores them).
+    ``written`` is the schema the files were written with, partition columns too: nothing is then
+    inferred from footers or folder names, and a table without files has no rows.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
+    if written is not None:
+        reader = reader.schema(written)
     if base_path:
         reader = reader.option("basePath", base_path)
     df = reader.load(path)
